@@ -8,11 +8,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from earshot.constants import HALF_WORDS, QUARTER_WORDS, SAFE_HARBOR_PHRASES
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFKC", s), na_action="ignore")
 

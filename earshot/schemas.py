@@ -1,55 +1,43 @@
-"""Explicit schemas of the landed files and the domain tables."""
+"""Explicit schemas (DDL text) of the landed files and the domain tables."""
 
-from pyspark.sql import types as T
 
-
-def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-RAW_MARKET = _fields(
+RAW_MARKET = (
     "ticker STRING, event_ticker STRING, custom_strike STRUCT<Word: STRING>, result STRING, "
     "previous_price_dollars STRING, close_time STRING, settlement_ts STRING, status STRING, "
     "yes_bid_dollars STRING, no_bid_dollars STRING, volume_fp STRING, open_interest_fp STRING, "
     "rules_primary STRING"
 )
 
-NESTED_MARKET = _fields(
-    "ticker STRING, status STRING, yes_sub_title STRING, custom_strike STRUCT<Word: STRING>, "
-    "yes_bid_dollars STRING, yes_ask_dollars STRING, no_bid_dollars STRING, no_ask_dollars STRING, "
-    "volume_fp STRING, previous_yes_bid_dollars STRING, previous_yes_ask_dollars STRING"
+RAW_EVENT = (
+    "event_ticker STRING, ticker STRING, series_ticker STRING, markets ARRAY<STRUCT<"
+    "ticker: STRING, status: STRING, yes_sub_title: STRING, custom_strike: STRUCT<Word: STRING>, "
+    "yes_bid_dollars: STRING, yes_ask_dollars: STRING, no_bid_dollars: STRING, no_ask_dollars: STRING, "
+    "volume_fp: STRING, previous_yes_bid_dollars: STRING, previous_yes_ask_dollars: STRING>>"
 )
 
-RAW_EVENT = T.StructType([
-    T.StructField("event_ticker", T.StringType()),
-    T.StructField("ticker", T.StringType()),
-    T.StructField("series_ticker", T.StringType()),
-    T.StructField("markets", T.ArrayType(NESTED_MARKET)),
-])
-
-FLAT_MARKET = _fields(
+FLAT_MARKET = (
     "series_ticker STRING, event_ticker STRING, market_ticker STRING, company_label STRING, "
     "word STRING, result STRING, label INT, implied_prob DOUBLE, close_date STRING, "
     "settlement_date STRING, status STRING, yes_bid DOUBLE, no_bid DOUBLE, volume DOUBLE, "
     "open_interest DOUBLE, rules_primary STRING"
 )
 
-RAW_TRANSCRIPT_JSON = _fields("content STRING, date STRING")
+RAW_TRANSCRIPT_JSON = "ARRAY<STRUCT<content: STRING, date: STRING>>"
 
-TRANSCRIPTS = _fields(
+TRANSCRIPTS = (
     "ticker STRING, year INT, quarter INT, content STRING, call_date DATE, source STRING, filename STRING"
 )
 
-LABELS = _fields(
+LABELS = (
     "ticker STRING, year INT, quarter INT, call_date DATE, word STRING, mentioned INT, "
     "implied_prob DOUBLE, hist_rate DOUBLE, in_recent_news INT, market_ticker STRING"
 )
 
-DAILY_SUMMARY = _fields(
+DAILY_SUMMARY = (
     "market_ticker STRING, daily_open_mid DOUBLE, daily_std DOUBLE, daily_total_vol DOUBLE"
 )
 
-EXPERIMENT = _fields(
+EXPERIMENT = (
     "timestamp STRING, "
     "config STRUCT<model: STRING, phase: STRING, split: STRING, feature_set: STRING, C: DOUBLE, "
     "max_depth: INT, threshold: DOUBLE, majority_class: INT>, "
@@ -60,6 +48,6 @@ EXPERIMENT = _fields(
     "avg_stake: DOUBLE, n_skipped_nan_prob: INT>, notes STRING"
 )
 
-COVERAGE = _fields(
+COVERAGE = (
     "series_ticker STRING, title STRING, n_events INT, n_markets INT, earliest_call DATE, latest_call DATE"
 )

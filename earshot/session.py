@@ -33,13 +33,28 @@ def build_session(app: str = "earshot", master: str | None = None, shuffle_parti
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared folder the cluster names; a temporary one only where none is set."""
+_fallback_root: str | None = None
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a temporary one only where none is set."""
+    global _fallback_root
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="earshot-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if _fallback_root is None:
+        _fallback_root = tempfile.mkdtemp(prefix="earshot-")
+    return _fallback_root
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
