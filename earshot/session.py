@@ -24,6 +24,7 @@ def build_session(app: str = "earshot", master: str | None = None, shuffle_parti
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     if shuffle_partitions:
