@@ -1,5 +1,5 @@
 """All registered queries: name -> (query, SQL that checks it or None)."""
 
-from earshot.catalog import evaluation, facts, history, trading
+from earshot.catalog import evaluation, facts, history, textual, trading
 
-ALL = {**history.QUERIES, **facts.QUERIES, **evaluation.QUERIES, **trading.QUERIES}
+ALL = {**history.QUERIES, **facts.QUERIES, **evaluation.QUERIES, **trading.QUERIES, **textual.QUERIES}

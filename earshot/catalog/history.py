@@ -20,7 +20,7 @@ def hist_rate_asof(spark, sf):
 
 HITS_CTE = f""",
 pairs AS (SELECT DISTINCT ticker, lower(word) AS w FROM m),
-hits AS (SELECT p.ticker, p.w, t.call_date, CASE WHEN {says('p.w')} THEN 1 ELSE 0 END AS hit
+hits AS MATERIALIZED (SELECT p.ticker, p.w, t.call_date, CASE WHEN {says('p.w')} THEN 1 ELSE 0 END AS hit
          FROM pairs p JOIN t ON t.ticker = p.ticker WHERE call_date IS NOT NULL),
 rates AS (SELECT k.ticker, k.w, k.cutoff, avg(CAST(hit AS DOUBLE)) AS hist_rate
           FROM (SELECT DISTINCT ticker, lower(word) AS w, cutoff FROM m WHERE cutoff IS NOT NULL) k
@@ -153,7 +153,7 @@ win AS (SELECT * FROM (
           JOIN calls c ON c.ticker = g.ticker AND c.period_num < g.target_period) WHERE r <= 12),
 need AS (SELECT DISTINCT win.ticker, tgt.word, win.doc_id, win.content
          FROM win JOIN tgt ON tgt.ticker = win.ticker AND tgt.target_period = win.target_period),
-doc_cnt AS (SELECT ticker, word, doc_id, CAST({variant_count('word')} AS BIGINT) AS cnt FROM need),
+doc_cnt AS MATERIALIZED (SELECT ticker, word, doc_id, CAST({variant_count('word')} AS BIGINT) AS cnt FROM need),
 cnts AS (SELECT tgt.ticker, tgt.word, tgt.target_period, r, cnt, CASE WHEN cnt > 0 THEN 1 ELSE 0 END AS said
          FROM tgt JOIN win ON win.ticker = tgt.ticker AND win.target_period = tgt.target_period
          JOIN doc_cnt d ON d.ticker = tgt.ticker AND d.word = tgt.word AND d.doc_id = win.doc_id),
