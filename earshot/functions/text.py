@@ -1,7 +1,5 @@
 """Column expressions over transcript text."""
 
-from __future__ import annotations
-
 import unicodedata
 
 import pandas as pd

@@ -130,7 +130,7 @@ def quotes(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) ->
     value = F.least(F.lit(0.99), F.greatest(F.lit(0.01), F.col("value") / 100))
     return (
         raw.select(
-            "event_id", "ts", F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("market_ticker"),
+            "event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("market_ticker"),
             F.concat(F.lit("STK"), (F.col("user_id") % 20).cast("string")).alias("stock_ticker"),
             F.col("event_type").alias("word"), value.alias("mid"), F.col("value").alias("volume"), k.alias("k"),
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.operators.metrics import latest_results
@@ -48,11 +48,31 @@ def write_transcripts(cleaned: DataFrame, path: str) -> None:
     cleaned.where("skip_reason IS NULL").drop("skip_reason").write.partitionBy("ticker").parquet(path)
 
 
+def experiment_records(metrics: DataFrame, config: list[str], stamp: Column, notes: str = "") -> DataFrame:
+    """One log record per metrics row: the config columns, every known metric present, missing ones null."""
+    spec = metrics.sparkSession.createDataFrame([], EXPERIMENT).schema
+
+    def pack(name: str, allowed: list[str] | None) -> Column:
+        fields = spec[name].dataType.fields
+        matrix = F.array(F.array("tn", "fp"), F.array("fn", "tp")) if "tn" in metrics.columns else F.lit(None)
+        have = {c: F.col(c) for c in metrics.columns} | {"confusion_matrix": matrix}
+        return F.struct(*[
+            (have[f.name] if f.name in have and (allowed is None or f.name in allowed) else F.lit(None))
+            .cast(f.dataType).alias(f.name) for f in fields
+        ]).alias(name)
+
+    return metrics.select(stamp.cast("string").alias("timestamp"), pack("config", config), pack("metrics", None), F.lit(notes).alias("notes"))
+
+
+def append_experiments(records: DataFrame, path: str) -> None:
+    records.write.mode("append").json(path)
+
+
 def append_experiment(spark: SparkSession, path: str, config: dict, metrics: dict, notes: str = "",
                       timestamp: str | None = None) -> None:
+    """One record from plain dictionaries; unset fields are left out of the JSON."""
     stamp = timestamp or datetime.now(timezone.utc).isoformat()
-    record = spark.createDataFrame([(stamp, config, metrics, notes)], EXPERIMENT)
-    record.coalesce(1).write.mode("append").json(path)
+    append_experiments(spark.createDataFrame([(stamp, config, metrics, notes)], EXPERIMENT).coalesce(1), path)
 
 
 def write_results_table(log: DataFrame, path: str) -> None:
