@@ -61,7 +61,7 @@ def balanced_weight(df: DataFrame, y: str = "mentioned") -> DataFrame:
     return df.withColumn("weight", (pos + neg) / (2.0 * F.when(F.col(y) == 1, pos).otherwise(neg)))
 
 
-@F.udf(VectorUDT())
+@F.udf(returnType=VectorUDT(), useArrow=False)
 def _sparse(size: int, entries) -> SparseVector:
     return SparseVector(size, [(e.pos, e.value) for e in entries or []])
 
