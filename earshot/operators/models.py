@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from earshot.constants import RECENCY_DECAY, SPLIT_SEED, STAGE2_COLS
 from earshot.operators.metrics import classification_metrics
 from earshot.operators.splits import stratified_folds
-from earshot.session import ensure_checkpoint_dir
+from earshot.session import ensure_checkpoint_dir, materialize
 
 # Deepest tree Spark ML grows; stands for "no limit".
 UNLIMITED_DEPTH = 30
@@ -97,47 +99,66 @@ def macro_f1(predictions: DataFrame, y: str, by: tuple[str, ...] = ()) -> float:
     return classification_metrics(scored, y, by=by).agg(F.avg("f1_macro")).first()[0]
 
 
+# Rows per task while training: small tables should not pay for empty tasks at every iteration.
+ROWS_PER_TASK = 20_000
+
+
+def _training_table(df: DataFrame) -> tuple[DataFrame, int]:
+    """The rows on shared storage, in as many partitions as their number asks for, and that number."""
+    stored = materialize(df, "training")
+    n = stored.count()
+    return stored.coalesce(max(1, -(-n // ROWS_PER_TASK))).persist(), n
+
+
+def _over_folds(fit_fold, n_folds: int, spark, parallelism: int) -> DataFrame:
+    """Union of the held-out predictions of every fold; the fits share the cluster."""
+    with ThreadPool(processes=min(parallelism, n_folds)) as pool:
+        parts = pool.map(inheritable_thread_target(spark)(fit_fold), range(n_folds))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _logreg(c: float, total_weight: float, y: str) -> LogisticRegression:
     """Penalty 1/2 |w|^2 + C * weighted loss, rescaled to Spark's mean loss; the intercept is not penalised."""
     return LogisticRegression(
-        labelCol=y, weightCol="weight", standardization=False, elasticNetParam=0.0, maxIter=1000, tol=1e-8,
+        labelCol=y, weightCol="weight", standardization=False, elasticNetParam=0.0, maxIter=1000, tol=1e-5,
         regParam=1.0 / (c * total_weight),
     )
 
 
 def train_logreg(train: DataFrame, y: str = "mentioned", key: str = "market_ticker", n_folds: int = 5,
-                 c_values: tuple[float, ...] = (0.01, 0.1, 1.0, 10.0), seed: int = SPLIT_SEED):
+                 c_values: tuple[float, ...] = (0.01, 0.1, 1.0, 10.0), seed: int = SPLIT_SEED, parallelism: int = 5):
     """(model, best C) by cross-validated macro F1 on the training rows only; class-balanced weights."""
-    data = stratified_folds(train, y, key, n_folds, seed).persist()
+    data, n = _training_table(stratified_folds(train, y, key, n_folds, seed))
     try:
         best = (None, -1.0)
+        # Balanced weights sum to the number of rows.
+        sizes = {row.fold: row["count"] for row in data.groupBy("fold").count().collect()}
         for c in c_values:
-            held_out = []
-            for fold in range(n_folds):
+            def held_out(fold: int, c: float = c) -> DataFrame:
                 part = balanced_weight(data.where(F.col("fold") != fold), y)
-                total = part.agg(F.sum("weight")).first()[0]
-                model = _logreg(c, total, y).fit(part)
-                held_out.append(model.transform(data.where(F.col("fold") == fold)).select("fold", y, "prediction"))
-            score = macro_f1(reduce(DataFrame.unionByName, held_out), y, ("fold",))
+                model = _logreg(c, n - sizes.get(fold, 0), y).fit(part)
+                return model.transform(data.where(F.col("fold") == fold)).select("fold", y, "prediction")
+
+            score = macro_f1(_over_folds(held_out, n_folds, data.sparkSession, parallelism), y, ("fold",))
             if score > best[1]:
                 best = (c, score)
-        full = balanced_weight(data, y)
-        return _logreg(best[0], full.agg(F.sum("weight")).first()[0], y).fit(full), best[0]
+        return _logreg(best[0], n, y).fit(balanced_weight(data, y)), best[0]
     finally:
         data.unpersist()
 
 
 def train_tree(train: DataFrame, dev: DataFrame, y: str = "mentioned", depths=(3, 5, 10, 15, None),
-               max_bins: int = 256, seed: int = SPLIT_SEED):
+               max_bins: int = 32, seed: int = SPLIT_SEED):
     """(model, best depth): balanced gini tree, depth by dev macro F1, the first best wins."""
-    data = balanced_weight(train, y).persist()
+    data, _ = _training_table(balanced_weight(train, y))
+    held_out = materialize(dev, "dev")
     try:
         best = (None, None, -1.0)
         for depth in depths:
             model = DecisionTreeClassifier(
                 labelCol=y, weightCol="weight", impurity="gini", maxDepth=depth or UNLIMITED_DEPTH, maxBins=max_bins, seed=seed
             ).fit(data)
-            score = macro_f1(model.transform(dev), y)
+            score = macro_f1(model.transform(held_out), y)
             if score > best[2]:
                 best = (model, depth, score)
         return best[0], best[1]
@@ -153,7 +174,11 @@ def train_boosting(train: DataFrame, features: list[str], y: str = "word_said",
         labelCol=y, weightCol="weight", maxIter=max_iter, maxDepth=7, stepSize=0.03, subsamplingRate=0.8,
         featureSubsetStrategy="0.8", minInstancesPerNode=20, checkpointInterval=10, seed=seed,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), boosting]).fit(train)
+    data, _ = _training_table(train)
+    try:
+        return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), boosting]).fit(data)
+    finally:
+        data.unpersist()
 
 
 def with_candle(df: DataFrame, price: str = "daily_open_mid", fallback: str = "tx_prob") -> DataFrame:
@@ -163,32 +188,34 @@ def with_candle(df: DataFrame, price: str = "daily_open_mid", fallback: str = "t
     )
 
 
-def fit_platt(rows: DataFrame, y: str, c: float, features: tuple[str, ...] = STAGE2_COLS) -> PipelineModel:
-    n = rows.count()
-    logistic = LogisticRegression(labelCol=y, standardization=False, regParam=1.0 / (c * n), maxIter=1000, tol=1e-10)
+def fit_platt(rows: DataFrame, y: str, c: float, features: tuple[str, ...] = STAGE2_COLS,
+              n: int | None = None) -> PipelineModel:
+    n = rows.count() if n is None else n
+    logistic = LogisticRegression(labelCol=y, standardization=False, regParam=1.0 / (c * n), maxIter=1000, tol=1e-8)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="stage2_features"),
                             logistic.setFeaturesCol("stage2_features")]).fit(rows)
 
 
 def train_platt(rows: DataFrame, y: str = "market_yes", key: str = "market_ticker", n_folds: int = 5,
-                c_values: tuple[float, ...] = (0.01, 0.03, 0.05, 0.1, 0.3, 0.5), seed: int = SPLIT_SEED):
+                c_values: tuple[float, ...] = (0.01, 0.03, 0.05, 0.1, 0.3, 0.5), seed: int = SPLIT_SEED,
+                parallelism: int = 5):
     """(model, best C) by cross-validated Brier score; the first best wins."""
-    data = stratified_folds(rows, y, key, n_folds, seed).persist()
+    data, n = _training_table(stratified_folds(rows, y, key, n_folds, seed))
     try:
         best = (None, float("inf"))
+        sizes = {row.fold: row["count"] for row in data.groupBy("fold").count().collect()}
         for c in c_values:
-            held_out = [
-                positive_probability(fit_platt(data.where(F.col("fold") != f), y, c), data.where(F.col("fold") == f), "p")
-                .select("fold", y, "p")
-                for f in range(n_folds)
-            ]
+            def held_out(fold: int, c: float = c) -> DataFrame:
+                model = fit_platt(data.where(F.col("fold") != fold), y, c, n=n - sizes.get(fold, 0))
+                return positive_probability(model, data.where(F.col("fold") == fold), "p").select("fold", y, "p")
+
             score = (
-                reduce(DataFrame.unionByName, held_out).groupBy("fold")
+                _over_folds(held_out, n_folds, data.sparkSession, parallelism).groupBy("fold")
                 .agg(F.avg(F.pow(F.col("p") - F.col(y), F.lit(2))).alias("brier")).agg(F.avg("brier")).first()[0]
             )
             if score < best[1]:
                 best = (c, score)
-        return fit_platt(data, y, best[0]), best[0]
+        return fit_platt(data, y, best[0], n=n), best[0]
     finally:
         data.unpersist()
 

@@ -36,7 +36,7 @@ def fit_stage1(history: DataFrame, train_before: int = TRAIN_BEFORE_YEAR, max_it
     train = history.where(F.col("year") < train_before)
     cols = list(TRANSCRIPT_FEATURES)
     filled = models.impute_median(train, models.recency_weight(train), cols)
-    return models.train_boosting(materialize(filled, "stage1-train"), cols, max_iter=max_iter)
+    return models.train_boosting(filled, cols, max_iter=max_iter)
 
 
 def score_markets(history: DataFrame, markets: DataFrame, daily: DataFrame, stage1) -> DataFrame:
