@@ -10,6 +10,7 @@ from earshot.functions import text as T
 from earshot.functions import words as W
 from earshot.operators import tfidf, transcripts
 from earshot.plans import fixtures as X
+from earshot.session import materialize
 from earshot.sources import transcripts as sources
 
 
@@ -275,8 +276,8 @@ def _train_rows(spark, sf):
 
 
 def tfidf_vocabulary(spark, sf):
-    daily = tfidf.daily_term_counts(X.transcripts(spark, sf))
-    return tidy(tfidf.fit_vocabulary(daily, _train_rows(spark, sf)))
+    docs = X.transcripts(spark, sf)
+    return tidy(tfidf.fit_vocabulary(tfidf.daily_term_counts(docs), _train_rows(spark, sf), call_dates=docs))
 
 
 TOKENS = r"regexp_extract_all(lower(content), '[\p{L}\p{M}\p{N}_]{2,}')"
@@ -300,9 +301,11 @@ VOCABULARY_SQL = sql(X.MARKETS_SQL + TERM_CTE, "SELECT term, df, corpus_tf, roun
 
 def tfidf_contexts(spark, sf):
     """Size, weight sum and largest weight of every market's context vector."""
-    daily = tfidf.daily_term_counts(X.transcripts(spark, sf))
+    docs = X.transcripts(spark, sf)
+    daily = materialize(tfidf.daily_term_counts(docs), "daily-terms")
     rows = _train_rows(spark, sf)
-    vectors = tfidf.context_vectors(daily, rows, tfidf.fit_vocabulary(daily, rows))
+    vocabulary = materialize(tfidf.fit_vocabulary(daily, rows, call_dates=docs), "vocabulary")
+    vectors = tfidf.context_vectors(daily, rows, vocabulary)
     per_context = vectors.groupBy("ticker", "cutoff").agg(
         F.count(F.lit(1)).alias("n_terms"), F.sum("weight").alias("weight_sum"), F.max("weight").alias("max_weight"))
     return tidy(rows.join(per_context, ["ticker", "cutoff"], "left").drop("cutoff"), 5)

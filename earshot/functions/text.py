@@ -35,12 +35,14 @@ def strip_safe_harbor(text: Column) -> Column:
     A sentence can only start at the text start or right after a terminator, so one look-ahead per
     sentence is enough and the scan stays linear on text without punctuation.
     """
-    phrases = "|".join(SAFE_HARBOR_PHRASES)
-    return F.regexp_replace(text, rf"(?iU)(?<![^.?!])(?=[^.?!]*?(?:{phrases}))[^.?!]*+[.?!]", " ")
+    # Every phrase starts at a word boundary, so that is tested once per position.
+    phrases = "|".join(p.removeprefix(r"\b") for p in SAFE_HARBOR_PHRASES)
+    return F.regexp_replace(text, rf"(?iU)(?<![^.?!])(?=[^.?!]*?\b(?:{phrases}))[^.?!]*+[.?!]", " ")
 
 
 def collapse_whitespace(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    """Single blanks already in place are left alone."""
+    return F.trim(F.regexp_replace(text, r"(?U)\s{2,}|[\s&&[^ ]]", " "))
 
 
 def clean_transcript(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import words as W
-from earshot.session import fits_broadcast
+from earshot.session import fits_broadcast, spread_if_small
 
 TOKEN = r"(?U)[\p{Alpha}\p{Mn}\p{Me}\p{Mc}\p{Digit}\p{Pc}\p{IsJoin_Control}]+"
 
@@ -36,7 +36,7 @@ def mention_hits(docs: DataFrame, vocab: DataFrame, measure=whole_word, *, key:
     vocab = vocab.select("ticker", "word").where(F.col("ticker").isNotNull() & F.col("word").isNotNull()).distinct()
     if broadcast is None:
         broadcast = fits_broadcast(vocab, ("ticker", "word"))
-    docs = docs.where(F.col(text).isNotNull())
+    docs = spread_if_small(docs.where(F.col(text).isNotNull()), key)
     if broadcast:
         per_ticker = vocab.groupBy("ticker").agg(F.collect_list("word").alias("words"))
         matched = docs.join(F.broadcast(per_ticker), "ticker")

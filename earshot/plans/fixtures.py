@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.functions import periods, trading
+from earshot.session import spread_if_small
 
 WORDS = ("the", "of the", "and / or", "To", "la", "it", "that / this", "for / for the")
 
@@ -195,7 +196,7 @@ def _pick(values: tuple[str, ...]):
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole transcript files (file_name, value) with header, operator line, boilerplate and footer."""
     d = F.col("doc_id")
-    t = transcripts(spark, sf_dir)
+    t = spread_if_small(transcripts(spark, sf_dir), "doc_id")
     good = F.concat_ws(
         "_", F.lit("SRC"), F.col("year").cast("string"), F.concat(F.lit("Q"), F.col("quarter").cast("string"))
     )

@@ -78,3 +78,15 @@ def fits_broadcast(df: DataFrame, text_cols: tuple[str, ...] = (), max_rows: int
 
 def broadcast_if_small(df: DataFrame, text_cols: tuple[str, ...] = (), **limits: int) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, text_cols, **limits) else df
+
+
+# Below this size a table is read by few tasks, and shuffling it costs little.
+SPREAD_MAX_BYTES = 512 * 1024 * 1024
+
+
+def spread_if_small(df: DataFrame, key: str) -> DataFrame:
+    """Spread a small table over all cores before costly per-row text work; large tables keep their splits."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SPREAD_MAX_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
