@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +50,20 @@ VARIANT_COUNT_SQL = (
 
 def variant_count(word: str, text: str = "content") -> str:
     return VARIANT_COUNT_SQL.format(one=count_of("v", text), word=word)
+
+
+def _plain_count(literal: str) -> str:
+    """count_of for a fixed literal of letters, blanks and slashes: the pattern is a constant."""
+    doubled = re.sub(r"(\W)", r"\1\1", literal)
+    text = f"regexp_replace(lower(content), '({NON_WORD})', '\\1\\1', 'g')"
+    return f"len(regexp_extract_all({text}, '(?:^|{NON_WORD}){doubled}(?:$|{NON_WORD})'))"
+
+
+def word_hits(words: tuple[str, ...]) -> str:
+    """CTE wh(ticker, doc_id, call_date, period_num, s.w, s.hit, s.cnt): every call against every fixed word."""
+    items = ", ".join(
+        f"{{'word': '{w}', 'w': '{w.lower()}', 'hit': CASE WHEN regexp_matches(lower(content), '(^|{NON_WORD}){w.lower()}($|{NON_WORD})') THEN 1 ELSE 0 END, "
+        f"'cnt': CAST({' + '.join(_plain_count(v.strip()) for v in w.lower().split('/'))} AS BIGINT)}}"
+        for w in words
+    )
+    return f", wh AS MATERIALIZED (SELECT ticker, doc_id, call_date, period_num, base_date, unnest([{items}]) AS s FROM t)"

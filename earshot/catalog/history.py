@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from earshot.catalog.base import says, sql, tidy, variant_count
+from earshot.catalog.base import says, sql, tidy, variant_count, word_hits
 from earshot.functions import text as T
 from earshot.operators import context, history, trailing
 from earshot.plans import fixtures as X
@@ -18,10 +18,9 @@ def hist_rate_asof(spark, sf):
     return tidy(history.build_labels(X.transcripts(spark, sf), label_inputs(spark, sf)))
 
 
-HITS_CTE = f""",
+HITS_CTE = word_hits(X.WORDS) + """,
 pairs AS (SELECT DISTINCT ticker, lower(word) AS w FROM m),
-hits AS MATERIALIZED (SELECT p.ticker, p.w, t.call_date, CASE WHEN {says('p.w')} THEN 1 ELSE 0 END AS hit
-         FROM pairs p JOIN t ON t.ticker = p.ticker WHERE call_date IS NOT NULL),
+hits AS MATERIALIZED (SELECT wh.ticker, s.w, call_date, s.hit FROM wh JOIN pairs p ON p.ticker = wh.ticker AND p.w = s.w WHERE call_date IS NOT NULL),
 rates AS (SELECT k.ticker, k.w, k.cutoff, avg(CAST(hit AS DOUBLE)) AS hist_rate
           FROM (SELECT DISTINCT ticker, lower(word) AS w, cutoff FROM m WHERE cutoff IS NOT NULL) k
           JOIN hits h ON h.ticker = k.ticker AND h.w = k.w AND h.call_date < k.cutoff GROUP BY ALL)"""
