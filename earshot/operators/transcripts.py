@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from earshot.constants import MIN_TRANSCRIPT_WORDS
 from earshot.functions import text as T
+from earshot.functions.periods import period_num
 
 
 def prefer_roots(roots: list[DataFrame], keys: tuple[str, ...] = ("ticker", "year", "quarter"),
@@ -38,9 +39,14 @@ def discover_tickers(*roots: DataFrame) -> DataFrame:
 
 
 def clean_documents(raw: DataFrame, min_words: int = MIN_TRANSCRIPT_WORDS) -> DataFrame:
-    """raw + cleaned content, n_words and the reason a document is skipped (null when it is kept)."""
+    """raw + cleaned content, n_words and the reason a document is skipped (null when it is kept).
+
+    Documents without a doc_id get '{ticker}_{year}Q{quarter}', the key that is unique after root precedence.
+    """
+    if "doc_id" not in raw.columns:
+        raw = raw.withColumn("doc_id", F.concat(F.concat_ws("_", "ticker", "year"), F.lit("Q"), F.col("quarter").cast("string")))
     return (
-        raw.withColumn("content", T.clean_transcript(F.col("content")))
+        raw.withColumn("period_num", period_num(F.col("year"), F.col("quarter"))).withColumn("content", T.clean_transcript(F.col("content")))
         .withColumn("n_words", T.word_count(F.col("content")))
         .withColumn(
             "skip_reason",

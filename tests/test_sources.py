@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.plans.dataset import preprocess
+from earshot.plans.dataset import build_dataset, preprocess
 from earshot.sources import markets, sinks, tables
 from earshot.sources import transcripts as S
 from earshot.streaming import quotes as Q
@@ -52,6 +52,10 @@ def test_preprocess_job(spark, roots, tmp_path):
     table = spark.read.parquet(out)
     got = [(r.year, r.quarter) for r in S.load_transcripts(table, "KO").collect()]
     assert got == [(2023, 4), (2024, 1), (2024, 2)]
+    flat = spark.createDataFrame([("KO", "World", None, "yes", 0.4, "2024-06-01", "", "m1"), ("KO", "zzz", None, "no", None, "2024-06-01", "", "m2")],
+                                 "company_label STRING, word STRING, label INT, result STRING, implied_prob DOUBLE, close_date STRING, settlement_date STRING, market_ticker STRING")
+    labels = {r.market_ticker: r for r in build_dataset(flat, table, str(tmp_path / "labels")).collect()}
+    assert labels["m1"].hist_rate == 1.0 and labels["m2"].hist_rate == 0.0 and labels["m1"].split == labels["m2"].split
 
 
 def test_speaker_files(spark, tmp_path):
