@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # White space of the word rules: blank and U+0009-U+000D, nothing else.
@@ -22,9 +22,16 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def words_of(text):
-    """Array of the words of a text column."""
-    return F.regexp_extract_all(text, F.lit(f"({WORD})"))
+def words_of(text: Column) -> Column:
+    """Array of the words of a text column: one white-space character for all, then a plain split."""
+    for space in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are worked out once per row: a filter further up cannot copy their expressions into itself."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
 
 
 def arrow_texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import WORD, text_or_empty
+from earshot.llm.common import WORD, settled, text_or_empty
 
 WINDOW = 3
 
@@ -53,9 +53,8 @@ def line_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     covered = later.groupBy("doc_id", "row_key").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("gone"))
     covered = covered.select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "gone")
     joined = keyed.join(covered, (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("row_key") == F.col("key")), "left")
-    lines, gone = F.split(text_or_empty(), "\n"), F.coalesce("gone", F.expr("array()").cast("array<int>"))
-    flags = F.map_from_arrays(gone, F.array_repeat(F.lit(True), F.size(gone)))
-    left = F.filter(lines, lambda _, i: ~F.coalesce(F.element_at(flags, i), F.lit(False)))
-    text = F.when(F.col("gone").isNull(), text_or_empty()).otherwise(F.array_join(left, "\n"))
-    return joined.select("doc_id", text.alias("text"), F.size(lines).cast("long").alias("n_lines"),
-                         F.size(gone).cast("long").alias("n_removed"))
+    joined = settled(joined, _lines=F.split(text_or_empty(), "\n"), _gone=F.coalesce("gone", F.expr("array()").cast("array<int>")))
+    lines, gone = F.col("_lines"), F.col("_gone")
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i))
+    return joined.select("doc_id", F.when(F.size(gone) == 0, text_or_empty()).otherwise(F.array_join(left, "\n")).alias("text"),
+                         F.size(lines).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_removed"))

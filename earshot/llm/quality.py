@@ -7,11 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import SPACE, WORD, text_or_empty, words_of
+from earshot.llm.common import WORD, settled, text_or_empty, words_of
 
 # Buckets of the hashed n-grams, and the least mean log ratio per n-gram of a document that stays.
 BUCKETS = 8192
-LEAST_RATIO = -0.25
+LEAST_RATIO = -0.06
+# A bucket seen no more often than this tells little: its ratio is drawn towards none.
+PRIOR = 5.0
 # Rows of the trusted target that the ratio is fitted on, by the smallest hash of their id. The raw side counts all.
 TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
@@ -19,34 +21,32 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 
 
-def _grams(words: Column, buckets: int) -> Column:
-    """Bucket of every word, then of every two neighbours. words must be a plain column."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)))
-    pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2),
-                        lambda i: F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(buckets)))
-    return F.when(F.size(words) > 1, F.concat(single, pairs)).otherwise(single)
+def _grams(docs: DataFrame, text: Column) -> DataFrame:
+    """docs with _hashes (of every word) and _pairs (of every word with its right neighbour, the last one alone)."""
+    step = settled(docs, _words=words_of(text))
+    step = settled(step, _hashes=F.transform("_words", lambda w: F.xxhash64(w)))
+    return settled(step, _pairs=F.transform("_hashes", lambda h, i: F.xxhash64(h, F.get("_hashes", i + 1))))
 
 
 def ratio_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> list[float]:
-    """log(target / raw) of every bucket, each side a multinomial over all n-grams with one added to every count.
+    """log(target / raw) of every bucket, of multinomials over all words and word pairs, smoothed by PRIOR counts.
 
     docs are all documents, trusted the doc_ids of the target. Raw counts cover all rows and whole texts; the target is
     a sample of at most trusted_rows ids. What reaches the driver is one row per bucket. Without any target document
-    every weight is 0.
+    every weight is near 0 alike, and no document is told from another.
     """
     sample = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)
     sample = sample.withColumn("target", F.lit(1))
-    marked = docs.select("doc_id", words_of(text_or_empty()).alias("words")).join(F.broadcast(sample), "doc_id", "left")
-    counts = marked.select("target", F.explode(_grams(F.col("words"), buckets)).alias("bucket")).groupBy("bucket").agg(
+    marked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
+    grams = _grams(marked, text_or_empty()).select("target", F.explode(F.concat("_hashes", "_pairs")).alias("gram"))
+    counts = grams.groupBy(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket")).agg(
         F.count(F.lit(1)).alias("raw"), F.count("target").alias("target"))
-    raw, target = [1.0] * buckets, [1.0] * buckets
+    raw, target = [0.0] * buckets, [0.0] * buckets
     for row in counts.collect():  # at most one row per bucket
         raw[row["bucket"]] += row["raw"]
         target[row["bucket"]] += row["target"]
-    all_raw, all_target = sum(raw), sum(target)
-    if all_target <= buckets:
-        return [0.0] * buckets
-    return [math.log(t / all_target) - math.log(r / all_raw) for r, t in zip(raw, target)]
+    share = sum(target) / max(sum(raw), 1.0)
+    return [math.log((t + PRIOR) / (r * share + PRIOR)) for r, t in zip(raw, target)]
 
 
 def quality_rules(docs: DataFrame, weights: list[float], least_ratio: float = LEAST_RATIO, min_words: int = MIN_WORDS,
@@ -61,37 +61,36 @@ def quality_rules(docs: DataFrame, weights: list[float], least_ratio: float = LE
     buckets = len(weights)
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")  # folded to one constant
     keep = [c for c in docs.columns if c not in ADDED]
-    text, words = text_or_empty(), F.col("_words")
+    text = text_or_empty()
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
-    step = docs.select(
-        *keep, words_of(text).alias("_words"), lines.alias("_lines"),
-        F.length(F.regexp_replace(text, SPACE + "+", "")).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
-    windows = F.when(F.size(words) >= 3, F.transform(
-        F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
-    sums = F.aggregate(F.transform(_grams(words, buckets), lambda b: F.get(table, b.cast("int"))), F.lit(0.0), lambda a, w: a + w)
-    n_words = F.size(words)
-    step = step.select(
-        *keep, "word_chars", "n_symbols", n_words.cast("long").alias("n_words"), windows.alias("_windows"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(n_words > 0, sums / (2 * n_words - 1)).otherwise(0.0).alias("ratio"))
+    step = _grams(settled(
+        docs.select(*keep), n_dup_lines=(F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        n_symbols=F.regexp_count(text, F.lit(SYMBOLS)).cast("long")), text)
+    n_words = F.size("_words")
+    windows = F.transform("_hashes", lambda h, i: F.xxhash64(h, F.get("_hashes", i + 1), F.get("_hashes", i + 2)))
+    windows = F.slice(windows, F.lit(1), F.greatest(n_words - 2, F.lit(0)))
+    sums = F.aggregate(F.concat("_hashes", "_pairs"), F.lit(0.0),
+                       lambda a, h: a + F.get(table, F.pmod(h, F.lit(buckets)).cast("int")))
+    step = settled(step, _windows=windows, n_words=n_words.cast("long"),
+                   word_chars=F.length(F.array_join("_words", "")).cast("long"),
+                   ratio=F.when(n_words > 0, sums / (2 * n_words)).otherwise(0.0)).drop("_words", "_hashes", "_pairs")
     hashes = F.col("_windows")
     # Only texts with a window found twice are sorted by window.
-    ranked = F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), F.array_sort(
+    ranked = F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), F.sort_array(
         F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    step = step.withColumn("_ranked", ranked).drop("_windows")
+    step = settled(step, _ranked=ranked).drop("_windows")
     order = F.col("_ranked")
     twice = F.filter(F.transform(order, lambda w, k: F.when(
         (F.get(order, k - 1)["h"] == w["h"]) | (F.get(order, k + 1)["h"] == w["h"]), w["i"])), lambda i: i.isNotNull())
-    step = step.withColumn("_starts", F.array_sort(twice)).drop("_ranked")
+    step = settled(step, _starts=F.sort_array(twice)).drop("_ranked")
     starts = F.col("_starts")
     covered = F.aggregate(F.transform(starts, lambda s, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - s, F.lit(3)))),
                           F.lit(0), lambda a, n: a + n)
-    step = step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_starts")
+    step = settled(step, n_repeat_words=F.coalesce(covered, F.lit(0)).cast("long")).drop("_starts")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return step.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"), "ratio", (~failed & (F.col("ratio") >= least_ratio)).alias("kept"))
 
 
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept",
-         "_words", "_lines", "_windows", "_ranked", "_starts")
+         "_words", "_hashes", "_pairs", "_windows", "_ranked", "_starts")
