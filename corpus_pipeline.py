@@ -6,30 +6,50 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.llm import exact_dedup, language_id, minhash, packing, quality
-from earshot.llm.common import table
+from earshot.llm.common import SPACE, table
 from earshot.session import materialize
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the other columns as one, out of the way of the names that an operator adds."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", (F.struct(*rest) if rest else F.lit(0)).alias("_rest"))
+
+
+def _restored(carried: DataFrame, docs: DataFrame) -> DataFrame:
+    return carried.select(*(c if c in ("doc_id", "text") else F.col(f"_rest.`{c}`") for c in docs.columns))
+
+
 def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; texts that are null or without letters go."""
-    found = language_id.identify_languages(docs, language_id.labelled_sample(docs))
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    found = language_id.identify_languages(_carried(docs), language_id.labelled_sample(docs))
+    return _restored(found.where(F.col("lang_pred") != language_id.UNKNOWN), docs)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counts and the likelihood ratio; the trusted target are labelled documents of quality 1."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
-    rated = quality.quality_rules(docs, quality.ratio_weights(docs, trusted))
-    return rated.where("kept").select(*docs.columns)
+    rated = quality.quality_rules(_carried(docs), quality.ratio_weights(docs, trusted))
+    return _restored(rated.where("kept"), docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
-    gone = exact_dedup.exact_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of equal texts.
+
+    Rows are found again by doc_id. Where several rows share one that stays, the longest of equal texts among them
+    stays. Rows without doc_id give way only to each other.
+    """
+    seen = exact_dedup.exact_duplicates(docs).groupBy("doc_id").agg(
+        F.max("kept").alias("_any"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1 OR NOT _any")
+    left = docs.join(seen, "doc_id", "left").where(F.coalesce("_any", F.lit(True)))
+    text = F.coalesce("text", F.lit(""))
+    same = F.when(F.col("doc_id").isNull() | (F.col("_rows") > 1), F.regexp_replace(text, SPACE, ""))
+    turn = F.row_number().over(W.partitionBy("doc_id", "_same").orderBy(F.length(text).desc()))
+    return left.withColumn("_same", same).withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

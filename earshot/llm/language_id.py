@@ -187,11 +187,11 @@ def identify_languages(docs: DataFrame, sample: dict[str, str]) -> DataFrame:
 
     The language whose sample parses the text into the fewest phrases wins: all languages parse the same symbols, so
     phrases need no further division by length. A null text, a text without letters, and an empty sample give `und`
-    and score 0. docs must not have columns lang_pred or score.
+    and score 0. Columns of docs named lang_pred or score are replaced.
     """
     from pyspark.sql import types as T
 
-    frozen = tuple(sorted(sample.items()))
+    docs, frozen = docs.drop("lang_pred", "score"), tuple(sorted(sample.items()))
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
