@@ -45,11 +45,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     seen = exact_dedup.exact_duplicates(docs).groupBy("doc_id").agg(
         F.max("kept").alias("_any"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1 OR NOT _any")
-    left = docs.join(seen, "doc_id", "left").where(F.coalesce("_any", F.lit(True)))
+    left = _carried(docs).join(seen, "doc_id", "left").where(F.coalesce("_any", F.lit(True)))
     text = F.coalesce("text", F.lit(""))
     same = F.when(F.col("doc_id").isNull() | (F.col("_rows") > 1), F.regexp_replace(text, SPACE, ""))
     turn = F.row_number().over(W.partitionBy("doc_id", "_same").orderBy(F.length(text).desc()))
-    return left.withColumn("_same", same).withColumn("_turn", turn).where("_turn = 1").select(*docs.columns)
+    return _restored(left.withColumn("_same", same).withColumn("_turn", turn).where("_turn = 1"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

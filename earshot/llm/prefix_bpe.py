@@ -141,7 +141,7 @@ class TextEncoder:
         self.matches = regex.compile(_explicit_space(pattern)).findall
         # Where white space runs over a blank, chunks do not stand alone.
         self.runs = regex.compile(f"[{UNICODE_SPACE}] (?:[{UNICODE_SPACE}]|$)|^ ").search
-        self.pieces = Remembered(self._piece)
+        self.pieces = Remembered(self._piece, 300_000)
         self.after_blank = Remembered(lambda chunk: self._by_matches(" " + chunk))
 
     def _piece(self, text: str) -> bytes:
@@ -218,13 +218,16 @@ def encoding_digests(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         text_of = {i: str(i) for i in encoder.table.bytes_of}.__getitem__
         for batch in batches:
             lists = batch.column(1)
-            ids = lists.flatten().to_pylist()
+            values = lists.flatten().to_numpy(zero_copy_only=False)
             cuts = (np.asarray(lists.offsets) - lists.offsets[0].as_py()).tolist()
-            parts = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+            sums = []
+            for begin, end in zip(cuts, cuts[1:]):
+                ids = values[begin:end].tolist()  # of one text at a time
+                sums.append((end - begin, hashlib.sha256(",".join(map(text_of, ids)).encode()).hexdigest(),
+                             hashlib.sha256(encoder.decode(ids)).hexdigest()))
+            count, ids_sum, text_sum = zip(*sums) if sums else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(p) for p in parts], pa.int64()),
-                 pa.array([hashlib.sha256(",".join(map(text_of, p)).encode()).hexdigest() for p in parts], pa.string()),
-                 pa.array([hashlib.sha256(encoder.decode(p)).hexdigest() for p in parts], pa.string())],
+                [batch.column(0), pa.array(count, pa.int64()), pa.array(ids_sum, pa.string()), pa.array(text_sum, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return encoded.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -13,7 +13,7 @@ from earshot.llm.common import WORD, settled, text_or_empty, words_of
 BUCKETS = 8192
 LEAST_RATIO = -0.06
 # A bucket seen no more often than this tells little: its ratio is drawn towards none.
-PRIOR = 5.0
+PRIOR = 30.0
 # Rows of the trusted target that the ratio is fitted on, by the smallest hash of their id. The raw side counts all.
 TRUSTED_ROWS = 20_000
 MIN_WORDS = 50

@@ -176,7 +176,9 @@ def test_packing_holds_every_id_once(edges, empty, group_chars):
     assert sum(p.length for p in pieces) == total
     joined = [i for key, parts in ids.items() if key[0] not in (1,) for i in [sum((x for _, x in sorted(parts)), [])]]
     assert sorted(joined) == sorted(i for d, i in want if d != "1")
-    assert sorted(x for x in ids[1, len(_ids(plain, EDGES[0][1]))]) == sorted([(0, _ids(plain, EDGES[0][1]))] * 2)
+    first = _ids(plain, EDGES[0][1])  # the row that occurs twice: every id of it twice
+    placed = sorted((start + k, i) for start, part in ids[1, len(first)] for k, i in enumerate(part))
+    assert placed == sorted([*enumerate(first), *enumerate(first)])
     assert packing.pack(empty, WORD_BPE).count() == 0
 
 
