@@ -9,6 +9,7 @@ from earshot.catalog.history import HITS_CTE, SEEN_CTE, label_inputs
 from earshot.functions import trading
 from earshot.operators import history, metrics, ranking, splits, sweeps, transcripts
 from earshot.plans import fixtures as X
+from earshot.session import materialize
 
 
 def confusion_matrix(spark, sf):
@@ -54,7 +55,7 @@ def _baseline_rows(spark, sf):
     """History rate rows and the predictions of all four baselines."""
     from earshot.plans.baselines import baseline_predictions
 
-    labels = history.build_labels(X.transcripts(spark, sf), label_inputs(spark, sf))
+    labels = materialize(history.build_labels(X.transcripts(spark, sf), label_inputs(spark, sf)), "labels")
     return baseline_predictions(labels, labels, labels)
 
 
@@ -82,6 +83,40 @@ bp AS (SELECT lab.*, 'majority' AS model, (SELECT mentioned FROM major) AS pred
        UNION ALL SELECT lab.*, 'hist_freq', CASE WHEN coalesce(hist_rate, 0) > (SELECT th FROM best) THEN 1 ELSE 0 END FROM lab)"""
 
 
+def _protocol(spark, sf, uncertain_only):
+    """Baselines by the book: fitted on train, tuned on dev, scored on dev and test companies."""
+    from earshot.plans.baselines import run_baselines
+
+    labels = history.build_labels(X.transcripts(spark, sf), label_inputs(spark, sf))
+    rows = run_baselines(materialize(splits.cross_company_split(labels), "labels"), uncertain_only)
+    return tidy(rows.select("model", "split", "n", "tn", "fp", "fn", "tp", "f1_macro", "n_trades", "n_correct", "total_pnl"))
+
+
+def baseline_protocol(spark, sf):
+    return _protocol(spark, sf, False)
+
+
+def baseline_protocol_uncertain(spark, sf):
+    """Tuning is never restricted; only rows priced in the uncertain band are scored."""
+    return _protocol(spark, sf, True)
+
+
+def _protocol_sql(only):
+    parts = BASELINE_CTE.removeprefix(HITS_CTE)
+    parts = parts.replace("lab AS (SELECT m.*, hist_rate FROM m LEFT JOIN", "lab AS (SELECT m.*, hist_rate, split FROM m JOIN split ON split.ticker = m.ticker LEFT JOIN")
+    parts = parts.replace("> th AS y FROM lab, grid)", "> th AS y FROM lab, grid WHERE split = 'dev')")
+    parts = parts.replace("SELECT mentioned FROM lab GROUP BY", "SELECT mentioned FROM lab WHERE split = 'train' GROUP BY")
+    scored = f"(SELECT * FROM bp WHERE split IN ('dev', 'test') AND {only}) q"
+    return sql(X.MARKETS_SQL + HITS_CTE + SPLIT_CTE + parts + ROI_CTE.format(source=scored), """,
+k AS (SELECT model, split, count(*) AS n, count(*) FILTER (mentioned = 0 AND pred = 0) AS tn, count(*) FILTER (mentioned = 0 AND pred = 1) AS fp,
+             count(*) FILTER (mentioned = 1 AND pred = 0) AS fn, count(*) FILTER (mentioned = 1 AND pred = 1) AS tp,
+             count(*) FILTER (implied_prob IS NOT NULL) AS n_trades, count(*) FILTER (implied_prob IS NOT NULL AND pred = mentioned) AS n_correct,
+             round(coalesce(sum(pnl), 0), 6) + 0.0 AS total_pnl FROM z GROUP BY model, split)
+SELECT model, split, n, tn, fp, fn, tp, n_trades, n_correct, total_pnl,
+       round((CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END
+              + CASE WHEN 2 * tn + fp + fn > 0 THEN 2.0 * tn / (2 * tn + fp + fn) ELSE 0 END) / 2, 6) AS f1_macro FROM k""")
+
+
 def history_threshold_sweep(spark, sf):
     labels = history.build_labels(X.transcripts(spark, sf), label_inputs(spark, sf))
     return tidy(sweeps.history_threshold_sweep(labels).select("threshold", "tn", "fp", "fn", "tp", "f1_macro"))
@@ -268,6 +303,8 @@ SELECT CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS
         X.MARKETS_SQL + BASELINE_CTE + CONFUSION_CTE.format(group=", model", source="bp GROUP BY model"), f"SELECT model, {METRIC_COLS} FROM k")),
     "baseline_roi": (baseline_roi, sql(
         X.MARKETS_SQL + BASELINE_CTE + ROI_CTE.format(source="bp"), f"SELECT model, {ROI_COLS} FROM z GROUP BY model")),
+    "baseline_protocol": (baseline_protocol, _protocol_sql("TRUE")),
+    "baseline_protocol_uncertain": (baseline_protocol_uncertain, _protocol_sql("implied_prob BETWEEN 0.2 AND 0.8")),
     "history_threshold_sweep": (history_threshold_sweep, sql(X.MARKETS_SQL + BASELINE_CTE, """
 SELECT round(th, 6) AS threshold, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp,
        round(f1_macro, 6) AS f1_macro FROM f1""")),

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from earshot.constants import HALF_WORDS, QUARTER_WORDS, SAFE_HARBOR_PHRASES
+from earshot.constants import (
+    CODED_QUARTER, GOOD_NAME, HALF_WORDS, NAMED_HALF, NAMED_QUARTER, NOT_SPACE, QUARTER_WORDS, RELATED_FOOTER, SAFE_HARBOR_PHRASES, SPACE,
+    TRANSCRIPT_NAME, URL,
+)
 
 
 @pandas_udf(StringType())
@@ -22,11 +25,11 @@ def nfkc(text: Column) -> Column:
 
 
 def strip_related_footer(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?isU)\n\s*+Related\s*+:.*\z", "")
+    return F.regexp_replace(text, RELATED_FOOTER, "")
 
 
 def strip_urls(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?iU)(?:https?://|www\.)\S+", " ")
+    return F.regexp_replace(text, URL, " ")
 
 
 def strip_safe_harbor(text: Column) -> Column:
@@ -42,7 +45,7 @@ def strip_safe_harbor(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Single blanks already in place are left alone."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s{2,}|[\s&&[^ ]]", " "))
+    return F.trim(F.regexp_replace(text, rf"(?U){SPACE}{{2,}}|[\s\x1C-\x1F&&[^ ]]", " "))
 
 
 def clean_transcript(text: Column) -> Column:
@@ -51,11 +54,11 @@ def clean_transcript(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"(?U)\S+"))
+    return F.regexp_count(text, F.lit(f"(?U){NOT_SPACE}+"))
 
 
 def strip_text(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
 
 
 def _found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -71,9 +74,9 @@ def _lookup(key: Column, table: dict[str, int]) -> Column:
 
 def quarter_in_text(text: Column) -> Column:
     """First quarter named in the text: spelled out, then Q1-Q4, then first / second half."""
-    named = F.lower(_found(text, r"(?iU)\b(first|second|third|fourth|1st|2nd|3rd|4th)[\s-]quarter\b"))
-    coded = _found(text, r"(?U)\bQ([1-4])(?=[\s,.\-;\d])").cast("int")
-    half = F.lower(_found(text, r"(?iU)\b(first|second)[\s-]half\b"))
+    named = F.lower(_found(text, NAMED_QUARTER))
+    coded = _found(text, CODED_QUARTER).cast("int")
+    half = F.lower(_found(text, NAMED_HALF))
     return F.coalesce(_lookup(named, QUARTER_WORDS), coded, _lookup(half, HALF_WORDS))
 
 
@@ -107,15 +110,15 @@ def patch_period_header(content: Column, quarter: Column) -> Column:
 
 
 def is_good_name(name: Column) -> Column:
-    return name.rlike(r"\A[A-Z]+_\d{4}_Q[1-4]\.txt\z")
+    return name.rlike(GOOD_NAME)
 
 
 def name_ticker(name: Column) -> Column:
-    return _found(name, r"\A([A-Z]+)_(\d{4})_Q.*\.txt\z", 1)
+    return _found(name, TRANSCRIPT_NAME, 1)
 
 
 def name_year(name: Column) -> Column:
-    return _found(name, r"\A([A-Z]+)_(\d{4})_Q.*\.txt\z", 2)
+    return _found(name, TRANSCRIPT_NAME, 2)
 
 
 def stem_year(stem: Column) -> Column:
@@ -137,4 +140,4 @@ def pair_text(word: Column, context: Column) -> Column:
 
 def head_tokens(context: Column, n: int) -> Column:
     """First n whitespace tokens of the context, joined by single spaces."""
-    return F.array_join(F.slice(F.regexp_extract_all(context, F.lit(r"(?U)\S+"), F.lit(0)), 1, n), " ")
+    return F.array_join(F.slice(F.regexp_extract_all(context, F.lit(f"(?U){NOT_SPACE}+"), F.lit(0)), 1, n), " ")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from earshot.functions import words as W
 from earshot.session import fits_broadcast, spread_if_small
 
+# Characters of a substring that its candidates in a text must hold.
+GRAM = 3
 TOKEN = r"(?U)[\p{Alpha}\p{Mn}\p{Me}\p{Mc}\p{Digit}\p{Pc}\p{IsJoin_Control}]+"
 
 
@@ -59,20 +61,23 @@ def _candidate_words(docs: DataFrame, vocab: DataFrame, key: str, text: str, mea
     """(ticker, key, words): the words whose first token occurs in the text.
 
     A whole-word match always starts its first token at a token boundary and, unless that token is the
-    end of the word, also ends it there; a boundary match at the word's end closes it as well. Words
-    without any token, and substring matching, have no such anchor: those use the blank token that
-    every text carries.
+    end of the word, also ends it there; a boundary match at the word's end closes it as well. Substrings
+    are anchored by their first three characters, shorter ones by all of theirs. Words without any token
+    use the blank token that every text carries.
     """
     anchored = measure is not substring
     variants = W.word_variants(F.col("word")) if measure is variant_count else F.array(F.lower("word"))
-    first = F.regexp_extract(F.col("variant"), TOKEN, 0) if anchored else F.lit("")
+    first = F.regexp_extract(F.col("variant"), TOKEN, 0) if anchored else F.substring("variant", 1, GRAM)
     anchors = (
         vocab.select("ticker", "word", F.explode(variants).alias("variant"))
         .select("ticker", "word", first.alias("token")).distinct()
     )
-    tokens = F.array_distinct(
-        F.array_append(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0)), F.lit(""))
-    ) if anchored else F.array(F.lit(""))
+    if anchored:
+        found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))
+    else:
+        found = W.once(F.split(F.lower(F.col(text)), ""), lambda chars: F.flatten(F.transform(chars, lambda c, i: F.transform(
+            F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.array_join(F.slice(chars, i + 1, n), "")))))
+    tokens = F.array_distinct(F.array_append(found, F.lit("")))
     doc_tokens = docs.select("ticker", key, F.explode(tokens).alias("token"))
     return (
         doc_tokens.join(anchors, ["ticker", "token"])

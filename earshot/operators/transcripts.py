@@ -14,7 +14,8 @@ def prefer_roots(roots: list[DataFrame], keys: tuple[str, ...] = ("ticker", "yea
                  name: str = "filename", dedupe: bool = True) -> DataFrame:
     """Union of roots; on a key collision the earlier root wins, then the smaller file name.
 
-    Winners are found on the narrow key columns; text joins them once.
+    Losers are found on the narrow key columns: only rows of keys that occur twice are listed, and taken out of the
+    rows with text. Rows without a complete key collide with nothing.
     """
     tagged = [root.withColumn("priority", F.lit(i)) for i, root in enumerate(roots)]
     rows = tagged[0]
@@ -22,11 +23,10 @@ def prefer_roots(roots: list[DataFrame], keys: tuple[str, ...] = ("ticker", "yea
         rows = rows.unionByName(other, allowMissingColumns=True)
     if not dedupe:
         return rows
-    winners = (
-        rows.groupBy(*keys).agg(F.min(F.struct("priority", name)).alias("win"))
-        .select(*keys, "win.priority", F.col(f"win.{name}").alias(name))
-    )
-    return rows.join(winners, [*keys, "priority", name], "left_semi")
+    place = F.struct("priority", name)
+    twice = rows.groupBy(*keys).agg(F.min(place).alias("win"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    losers = rows.select(*keys, "priority", name).join(twice, list(keys)).where(place != F.col("win")).drop("win")
+    return rows.join(losers, [*keys, "priority", name], "left_anti")
 
 
 def discover_tickers(*roots: DataFrame) -> DataFrame:

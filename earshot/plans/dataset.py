@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from earshot.constants import MIN_TRANSCRIPT_WORDS
 from earshot.operators import history, splits, transcripts
+from earshot.session import materialize
 from earshot.sources import sinks
 from earshot.sources.transcripts import read_raw_transcripts
 
 
 def preprocess(spark: SparkSession, expanded_root: str, cache_root: str, out: str,
                min_words: int = MIN_TRANSCRIPT_WORDS) -> DataFrame:
-    """Read both roots, clean, write the transcript table; returns the statistics per ticker."""
+    """Read both roots, clean once, write the transcript table; returns the statistics per ticker."""
     raw = read_raw_transcripts(spark, expanded_root, cache_root)
-    cleaned = transcripts.clean_documents(raw, min_words)
+    cleaned = materialize(transcripts.clean_documents(raw, min_words), "cleaned")
     sinks.write_transcripts(cleaned, out)
     return transcripts.preprocess_stats(cleaned)
 

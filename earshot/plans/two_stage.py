@@ -31,23 +31,27 @@ def word_history(docs: DataFrame, vocab: DataFrame, sectors: DataFrame | None =
     return trailing.with_sector_peers(rows.drop("stock_ticker"))
 
 
-def fit_stage1(history: DataFrame, train_before: int = TRAIN_BEFORE_YEAR, max_iter: int = 500):
-    """Boosted trees on early years, newer rows weighing more, missing features at their train median."""
-    train = history.where(F.col("year") < train_before)
+def stage1_rows(history: DataFrame, train_before: int = TRAIN_BEFORE_YEAR) -> DataFrame:
+    """The rows that stage 1 may learn from: years, taken from the period, before the first held-out one."""
+    return history.where(F.col("year") < train_before)
+
+
+def fit_stage1(train: DataFrame, max_iter: int = 500):
+    """Boosted trees on the training rows, newer ones weighing more, missing features at their train median."""
     cols = list(TRANSCRIPT_FEATURES)
     filled = models.impute_median(train, models.recency_weight(train), cols)
     return models.train_boosting(filled, cols, max_iter=max_iter)
 
 
-def score_markets(history: DataFrame, markets: DataFrame, daily: DataFrame, stage1) -> DataFrame:
-    """Markets with features, candle price and the stage 1 probability.
+def score_markets(history: DataFrame, markets: DataFrame, daily: DataFrame, stage1, train: DataFrame) -> DataFrame:
+    """Markets with features, candle price and the stage 1 probability; missing features at the medians of train.
 
     markets: (market_ticker, ticker, word, period_num, market_result). daily has one row per market.
     """
     rows = markets.join(history.drop("word_said"), ["ticker", "word", "period_num"])
     rows = rows.join(daily.select("market_ticker", "daily_open_mid", "daily_std", "daily_total_vol"), "market_ticker", "left")
     rows = rows.withColumn("market_yes", F.coalesce(F.col("market_result") == "yes", F.lit(False)).cast("int"))
-    rows = models.impute_median(history.where(F.col("year") < TRAIN_BEFORE_YEAR), rows, list(TRANSCRIPT_FEATURES))
+    rows = models.impute_median(train, rows, list(TRANSCRIPT_FEATURES))
     return models.with_candle(models.positive_probability(stage1, rows, "tx_prob").drop("features"))
 
 

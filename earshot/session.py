@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,19 +39,33 @@ _fallback_root: str | None = None
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set."""
+    """The shared folder the cluster names; where none is set, a temporary one, in local mode only."""
     global _fallback_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all hosts of {master} share")
     if _fallback_root is None:
         _fallback_root = tempfile.mkdtemp(prefix="earshot-")
     return _fallback_root
 
 
+def session_folder(spark: SparkSession) -> str:
+    """Everything that this application writes for itself, so that one removal clears it."""
+    return f"{shared_root(spark)}/earshot-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the session's folder; tables and checkpoints read from it are gone then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the session's part of the shared folder."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.constants import (
-    SECTORS, SERIES_ALIASES, SERIES_PREFIXES, SETTLED_STATUSES, TRACKED_EARNINGS_MENTION, TRACKED_MENTION_EARN,
-)
+from earshot.constants import SERIES_STOCKS_FILE, SETTLED_STATUSES, STOCK_SECTORS_FILE
 from earshot.functions import market, periods, trading
 from earshot.operators.ranking import keep_first
 from earshot.schemas import RAW_EVENT, RAW_MARKET
@@ -61,16 +61,20 @@ def flatten_markets(raw: DataFrame, settled_only: bool = False) -> DataFrame:
     )
 
 
-def series_to_stock(spark: SparkSession) -> DataFrame:
+def _fixed_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A small table of fixed values, read on the driver: executors need not see the file."""
+    with open(path, newline="", encoding="utf-8") as lines:
+        _, *rows = csv.reader(lines)
+    return spark.createDataFrame([tuple(row) for row in rows], schema)
+
+
+def series_to_stock(spark: SparkSession, path: str = SERIES_STOCKS_FILE) -> DataFrame:
     """(series_ticker, stock_ticker) of the tracked series; a small fixed dimension."""
-    rows = [(SERIES_PREFIXES[0] + s, s) for s in TRACKED_EARNINGS_MENTION.split()]
-    rows += [(SERIES_PREFIXES[1] + s, s) for s in TRACKED_MENTION_EARN.split()]
-    return spark.createDataFrame(rows + list(SERIES_ALIASES.items()), "series_ticker STRING, stock_ticker STRING")
+    return _fixed_table(spark, path, "series_ticker STRING, stock_ticker STRING")
 
 
-def stock_sectors(spark: SparkSession) -> DataFrame:
-    rows = [(stock, sector) for sector, stocks in SECTORS.items() for stock in stocks.split()]
-    return spark.createDataFrame(rows, "stock_ticker STRING, sector STRING")
+def stock_sectors(spark: SparkSession, path: str = STOCK_SECTORS_FILE) -> DataFrame:
+    return _fixed_table(spark, path, "stock_ticker STRING, sector STRING")
 
 
 def with_sector(df: DataFrame, sectors: DataFrame, key: str = "stock_ticker") -> DataFrame:

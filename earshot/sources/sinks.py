@@ -43,9 +43,9 @@ def write_splits(labels: DataFrame, path: str) -> None:
 def write_transcripts(cleaned: DataFrame, path: str) -> None:
     """Kept transcripts only, one folder per ticker; the call date is a column, so there is no sidecar.
 
-    A ticker may be hot, so rows are not gathered by ticker before the write.
+    Rows are rebalanced by ticker, which keeps the number of files low and splits a hot ticker over several tasks.
     """
-    cleaned.where("skip_reason IS NULL").drop("skip_reason").write.partitionBy("ticker").parquet(path)
+    cleaned.where("skip_reason IS NULL").drop("skip_reason").hint("rebalance", "ticker").write.partitionBy("ticker").parquet(path)
 
 
 def experiment_records(metrics: DataFrame, config: list[str], stamp: Column, notes: str = "") -> DataFrame:

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from earshot.schemas import EXPERIMENT
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Quoted text may hold commas, quotes and newlines; blanks and NaN read as null."""
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """Quoted text may hold commas, quotes and newlines; blanks and NaN read as null.
+
+    With multi_line a file is one task; a large file whose text holds no newlines is better read without, in splits.
+    """
     df = (
         spark.read.schema(schema)
-        .csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue="", nanValue="NaN")
+        .csv(path, header=True, multiLine=multi_line, quote='"', escape='"', nullValue="", nanValue="NaN")
     )
     doubles = [name for name, kind in df.dtypes if kind == "double"]
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles})

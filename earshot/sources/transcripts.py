@@ -43,7 +43,7 @@ def parse_text_transcripts(files: DataFrame) -> DataFrame:
     }).withColumn("call_date", to_date_or_null(F.col("date_text"))).drop("value", "stem", "file_name")
 
 
-def parse_json_transcripts(files: DataFrame) -> DataFrame:
+def parse_json_transcripts(files: DataFrame, source: str = "json") -> DataFrame:
     """The first element of an array document, or the object itself; a null content is ''."""
     entry = F.get(F.from_json("value", RAW_TRANSCRIPT_JSON), F.lit(0))
     return (
@@ -51,7 +51,7 @@ def parse_json_transcripts(files: DataFrame) -> DataFrame:
         .withColumns({
             "year": T.stem_year(F.col("stem")), "quarter": T.stem_quarter(F.col("stem")),
             "date_text": F.col("entry.date"), "content": F.coalesce("entry.content", F.lit("")),
-            "source": F.lit("fmp_api"), "filename": F.col("file_name"),
+            "source": F.lit(source), "filename": F.col("file_name"),
         })
         .withColumn("call_date", to_date_or_null(F.col("date_text"))).drop("value", "stem", "file_name", "entry")
     )

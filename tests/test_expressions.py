@@ -150,3 +150,10 @@ def test_momentum_flag(spark):
     rows = [(1, 0.11), (1, 0.21), (1, -0.21), (1, -0.15), (1, 0.10), (0, 0.5)]
     got = values(spark, trading.momentum_flag(F.col("h"), F.col("m")), rows, "h INT, m DOUBLE")
     assert got == ["TRENDING_YES", "SPIKE", "SPIKE", "TRENDING_NO", "NONE", "NONE"]
+
+
+def test_separator_characters_are_white_space(spark):
+    texts = ["a\x1cb c", "a\x1fb", "\x1d a \x1e", "x\x85y z\xa0w"]
+    assert values(spark, T.word_count(F.col("x")), texts) == [len(t.split()) for t in texts]
+    assert values(spark, T.collapse_whitespace(F.col("x")), texts) == [" ".join(t.split()) for t in texts]
+    assert values(spark, T.strip_text(F.col("x")), texts) == [t.strip() for t in texts]

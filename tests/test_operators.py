@@ -50,6 +50,17 @@ def test_token_join_equals_broadcast(corpus, measure):
     assert key(mention_hits(docs, tdf, measure, broadcast=True)) == key(mention_hits(docs, tdf, measure, broadcast=False))
 
 
+def test_substring_candidates_are_anchored(spark):
+    """A word is a candidate only where the text holds its first characters: no text meets every word."""
+    from earshot.operators.mentions import _candidate_words
+
+    docs = spark.createDataFrame([(i, "T", f"alpha beta {i}") for i in range(40)], "doc_id LONG, ticker STRING, content STRING")
+    vocab = spark.createDataFrame([("T", w) for w in ("alp", "zzz", "be", "ta 3", "")], "ticker STRING, word STRING")
+    found = {r.doc_id: set(r.words) for r in _candidate_words(docs, vocab, "doc_id", "content", substring).collect()}
+    assert found[3] == {"alp", "be", "ta 3", ""} and all("zzz" not in words for words in found.values())
+    assert all(("ta 3" in words) == f"alpha beta {i}".__contains__("ta 3"[:3]) for i, words in found.items())
+
+
 def test_future_document_changes_nothing(spark, corpus):
     _, _, docs, tdf = corpus
     later = spark.createDataFrame([(999, "HOT", "ai tariff", D(2024, 1, 9), 2024, 1)], docs.schema)

@@ -9,8 +9,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
+from earshot.catalog import ALL as CATALOG  # noqa: E402
 
-SAMPLE = ["hist_rate_asof", "trailing_word_features", "baseline_metrics", "clean_transcripts", "edge_threshold_sweep", "flat_market_csv"]
+CHECKED = sorted(name for name, (_, text) in CATALOG.items() if text is not None)
 
 
 def test_entry(spark):
@@ -18,11 +19,42 @@ def test_entry(spark):
     assert df.count() > 0 and "hist_rate" in df.columns
 
 
+def test_constants_tables(spark):
+    from earshot.sources import markets
+
+    series, sectors = markets.series_to_stock(spark), markets.stock_sectors(spark)
+    assert series.count() == series.select("series_ticker").distinct().count() > 100
+    assert sectors.count() == sectors.select("stock_ticker").distinct().count() > 100
+
+
+def test_held_out_periods_are_not_learned_from(spark, sf_dir):
+    parts = {r.part: (r.first_period, r.last_period) for r in entry.queries()["two_stage_periods"](spark, "/root/testdata/sf0.01").collect()}
+    assert parts["train"][1] < min(first for part, (first, _) in parts.items() if part != "train")
+
+
+def test_shared_folder(spark, monkeypatch):
+    from earshot import session
+
+    class Cluster:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "local-cluster[3,2,1024]"
+
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(ValueError, match="checkpoint"):
+            session.shared_root(Cluster)
+    path = session.scratch_path(spark, "probe")
+    assert path.startswith(session.session_folder(spark))
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_every_query_builds_a_plan_name():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", CHECKED)
 def test_query_against_sql(spark, sf_dir, name):
     assert check.compare(entry.queries()[name](spark, sf_dir), check.connect(sf_dir), entry.oracle_sql()[name]) == ""
 
