@@ -350,7 +350,29 @@ SELECT market_ticker, m.ticker, split FROM m JOIN split ON split.ticker = m.tick
 SELECT split, count(*) AS n_rows, count(DISTINCT m.ticker) AS n_companies FROM m JOIN split ON split.ticker = m.ticker GROUP BY split""")),
     "split_leaks": (split_leaks, sql(X.MARKETS_SQL + SPLIT_CTE, """
 SELECT m.ticker, count(DISTINCT split) AS n_splits FROM m JOIN split ON split.ticker = m.ticker GROUP BY m.ticker HAVING count(DISTINCT split) > 1""")),
-    "seeded_company_splits": (seeded_company_splits, None),
+    # The twenty companies of the test tables in the order of the seeded shuffle.
+    "seeded_company_splits": (seeded_company_splits, """
+SELECT ticker, split FROM (VALUES
+    ('SRC9', 'train'),
+    ('SRC13', 'train'),
+    ('SRC4', 'train'),
+    ('SRC12', 'train'),
+    ('SRC17', 'train'),
+    ('SRC3', 'train'),
+    ('SRC5', 'train'),
+    ('SRC8', 'train'),
+    ('SRC14', 'train'),
+    ('SRC2', 'train'),
+    ('SRC7', 'train'),
+    ('SRC18', 'train'),
+    ('SRC1', 'train'),
+    ('SRC19', 'train'),
+    ('SRC10', 'dev'),
+    ('SRC6', 'dev'),
+    ('SRC15', 'dev'),
+    ('SRC16', 'test'),
+    ('SRC0', 'test'),
+    ('SRC11', 'test')) v(ticker, split)"""),
     "stratified_folds": (stratified_folds, sql(X.MARKETS_SQL, """
 SELECT market_ticker, CAST(mentioned AS BIGINT) AS mentioned,
        (row_number() OVER (PARTITION BY mentioned ORDER BY md5('42:' || market_ticker), market_ticker) - 1) % 5 AS fold FROM m""")),

@@ -71,6 +71,14 @@ def word_company_counts_approx(spark, sf):
     return tidy(market_facts.word_company_counts_approx(labelled(spark, sf)))
 
 
+def approx_counts_within_error(spark, sf):
+    """Per word: 1 where the approximate number of companies is within three standard errors of the exact one."""
+    exact = market_facts.word_company_counts(labelled(spark, sf)).select("word", F.col("n_companies").alias("exact"))
+    close = F.abs(F.col("n_companies") - F.col("exact")) <= 3 * 0.02 * F.col("exact")
+    rough = market_facts.word_company_counts_approx(labelled(spark, sf))
+    return tidy(exact.join(rough, "word", "left").select("word", F.coalesce(close, F.lit(False)).cast("int").alias("within")))
+
+
 def top_words(spark, sf):
     return tidy(market_facts.top_words(labelled(spark, sf), 5))
 
@@ -253,6 +261,7 @@ SELECT min(n) AS min_n, max(n) AS max_n, round(avg(n), 6) AS mean_n FROM (SELECT
     "word_company_counts": (word_company_counts, sql(LABELLED_SQL, """
 SELECT word, count(DISTINCT series_ticker) AS n_companies, count(*) AS n_markets, round(avg(label), 6) AS yes_rate FROM ml GROUP BY word""")),
     "word_company_counts_approx": (word_company_counts_approx, None),
+    "approx_counts_within_error": (approx_counts_within_error, sql(LABELLED_SQL, "SELECT word, 1 AS within FROM ml GROUP BY word")),
     "top_words": (top_words, sql(LABELLED_SQL, """
 SELECT word, count(DISTINCT series_ticker) AS n_companies, count(*) AS n_markets, round(avg(label), 6) AS yes_rate
 FROM ml GROUP BY word ORDER BY n_companies DESC, word LIMIT 5""")),
