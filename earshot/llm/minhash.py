@@ -97,7 +97,7 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS)
         sign, "doc_id long, n_shingles long, set_key binary, keys array<long>, marks binary")
 
 
-def _agree(pairs: DataFrame, marked: DataFrame) -> DataFrame:
+def _agree(pairs: DataFrame, marked: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes allow the similarity and whose signatures agree often enough."""
     left = marked.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("marks").alias("m_a"))
     right = marked.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("marks").alias("m_b"))
@@ -108,7 +108,7 @@ def _agree(pairs: DataFrame, marked: DataFrame) -> DataFrame:
             good = pa.array(_share(np.count_nonzero(m_a == m_b, axis=1), m_a.shape[1]) >= LEAST_AGREEMENT)
             yield batch.select([0, 1]).filter(good)
 
-    sized = pairs.join(left, "a").join(right, "b").where("100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b)")
+    sized = pairs.join(left, "a").join(right, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     return sized.select("a", "b", "m_a", "m_b").mapInArrow(keep, "a long, b long").distinct()
 
 
@@ -117,14 +117,42 @@ def _share(equal: np.ndarray, of: int) -> np.ndarray:
     return (equal / of - 1 / 256) / (1 - 1 / 256)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose full sets satisfy 100 * intersection >= percent * union. Only texts of pairs are shingled."""
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """node, shingles (the full set) and counts (of shingles in 256 cells) of the wanted documents.
+
+    Both sides are shuffled at every size, so that the cost grows with the input and not in steps.
+    """
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary()), ("counts", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
-        rows = ((d, shingler(t).tobytes()) for batch in batches for d, t in zip(batch.column(0).to_pylist(), arrow_bytes(batch)))
-        return in_batches(rows, schema, lambda row: len(row[1]) + 16)
+
+        def rows():
+            for batch in batches:
+                for doc_id, text in zip(batch.column(0).to_pylist(), arrow_bytes(batch)):
+                    found = shingler(text)
+                    yield doc_id, found.tobytes(), cell_counts(found)
+
+        return in_batches(rows(), schema, lambda row: len(row[1]) + 300)
+
+    return docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(
+        cut, "node long, shingles binary, counts binary")
+
+
+def cell_counts(shingles: np.ndarray) -> bytes:
+    """Shingles in each of 256 cells of their hashes; all cells 255 where one holds more than 254."""
+    counts = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256)
+    return (counts if counts.max() < 255 else np.full(256, 255)).astype(np.uint8).tobytes()
+
+
+def _most_common(counts: np.ndarray, own: np.ndarray, n: np.ndarray, own_n: int) -> np.ndarray:
+    """The largest number of shingles that the sets can have in common, from their counts per cell."""
+    most = np.minimum(counts, own).sum(axis=1, dtype=np.int64)
+    return np.minimum(np.where(most == 255 * 256, np.minimum(n, own_n), most), np.minimum(n, own_n))
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets satisfy 100 * intersection >= percent * union."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,18 +165,15 @@ def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
                 good.append(100 * common >= percent * (len(both) - common))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = materialize(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(
-        cut, "node long, shingles binary"), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b").mapInArrow(check, "a long, b long").distinct()
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of different labels in one bucket whose signatures agree, without emitting the others.
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different labels in one bucket whose signatures agree and whose counts allow the similarity.
 
-    rows: key, node, label, n_shingles, marks, and the number of blocks of the bucket. A bucket larger than a block is
+    rows: key, node, label, n_shingles, marks, counts, and the number of blocks of the bucket. A bucket larger than a block is
     dealt out by pairs of blocks, so that no task holds all of it.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -156,21 +181,23 @@ def _across(rows: DataFrame) -> DataFrame:
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                          lambda x: F.struct(F.least(x, F.col("block")).alias("lo"), F.greatest(x, F.col("block")).alias("hi")))
     dealt = rows.withColumn("block", block).withColumn("cell", F.explode(others)).select(
-        "key", "cell.lo", "cell.hi", "block", "node", "label", "n_shingles", "marks")
+        "key", "cell.lo", "cell.hi", "block", "node", "label", "n_shingles", "marks", "counts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[tuple[int, int]] = set()
-        for cell, own, node, label, n, marks in _runs(batches):
+        for cell, own, node, label, n, marks, counts in _runs(batches):
             if label.min() == label.max():
                 continue
             # The most common label's own rows need no comparison with each other.
-            names, counts = np.unique(label, return_counts=True)
-            for at in np.flatnonzero(label != names[np.argmax(counts)]):
-                near = (label != label[at]) & (100 * np.minimum(n, n[at]) >= 80 * np.maximum(n, n[at]))
+            names, held = np.unique(label, return_counts=True)
+            for at in np.flatnonzero(label != names[np.argmax(held)]):
+                near = (label != label[at]) & (100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at]))
                 if cell[1] != cell[2]:
                     near &= own != own[at]
                 near = np.flatnonzero(near)
-                good = near[_share(np.count_nonzero(marks[near] == marks[at], axis=1), marks.shape[1]) >= LEAST_AGREEMENT]
+                near = near[_share(np.count_nonzero(marks[near] == marks[at], axis=1), marks.shape[1]) >= LEAST_AGREEMENT]
+                most = _most_common(counts[near], counts[at], n[near], int(n[at]))
+                good = near[100 * most >= percent * (n[near] + n[at] - most)]
                 found.update((min(x, int(node[at])), max(x, int(node[at]))) for x in node[good].tolist())
             if len(found) > 100_000:
                 yield from in_batches(found, schema, lambda row: 16)
@@ -187,9 +214,10 @@ def _runs(batches: Iterator[pa.RecordBatch]):
     cell = None
 
     def whole():
-        own, node, label, n, marks = zip(*held)
+        own, node, label, n, marks, counts = zip(*held)
         return (cell, np.array(own), np.array(node, np.int64), np.array(label, np.int64), np.array(n, np.int64),
-                np.frombuffer(b"".join(marks), np.uint8).reshape(len(held), -1))
+                np.frombuffer(b"".join(marks), np.uint8).reshape(len(held), -1),
+                np.frombuffer(b"".join(counts), np.uint8).reshape(len(held), -1))
 
     for batch in batches:
         for key, lo, hi, *row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -251,16 +279,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
         F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi")
     shared = materialize(buckets.join(centres.select("key", "centre", "members"), "key"), "buckets")
 
+    sets = materialize(_sets(docs, shared.select(F.col("node").alias("doc_id")).distinct(), size), "sets")
     stars = shared.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    links = _confirm(materialize(_agree(stars, marked), "pairs"), docs, size, percent)
+    links = _confirm(materialize(_agree(stars, marked, percent), "pairs"), sets, percent)
     found = connected_components(links)
 
     labelled = shared.join(found, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("label"), "members")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    open_rows = labelled.join(mixed, "key", "left_semi").join(marked, "node").withColumn(
-        "blocks", F.ceil(F.col("members") / BLOCK).cast("long")).dropDuplicates(["key", "node", "n_shingles", "marks"])
-    more = _confirm(materialize(_across(open_rows), "pairs"), docs, size, percent)
+    open_rows = labelled.join(mixed, "key", "left_semi").join(marked, "node").join(sets.select("node", "counts"), "node")
+    open_rows = open_rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("long"))
+    more = _confirm(materialize(_across(open_rows, percent), "pairs"), sets, percent)
 
     label = found.select("node", "component")
     joined = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("c_a")), "a", "left").join(

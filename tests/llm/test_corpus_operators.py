@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,16 @@ def test_near_duplicates_of_nothing(spark):
     assert minhash.near_duplicates(_frame(spark, [(1, "a")]).where("false"), size=2).count() == 0
 
 
+def test_counts_never_rule_out_a_common_shingle():
+    draw = np.random.default_rng(7)
+    sets = [np.unique(draw.integers(0, 1 << 63, k, dtype=np.uint64) % np.uint64(m)) for k, m in ((5, 50), (300, 900), (300, 900), (90_000, 1 << 40), (90_000, 1 << 40))]
+    for x in sets:
+        for y in sets:
+            own, other = (np.frombuffer(minhash.cell_counts(s), np.uint8) for s in (x, y))
+            most = minhash._most_common(other[None], own, np.array([len(y)]), len(x))[0]
+            assert len(np.intersect1d(x, y)) <= most <= min(len(x), len(y))
+
+
 def test_components(spark):
     draw = random.Random(4)
     links = [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(500, i) for i in range(501, 560)]
