@@ -45,7 +45,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     seen = exact_dedup.exact_duplicates(docs).groupBy("doc_id").agg(
         F.max("kept").alias("_any"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1 OR NOT _any")
-    left = _carried(docs).join(seen, "doc_id", "left").where(F.coalesce("_any", F.lit(True)))
+    left = _carried(docs).join(seen.hint("merge"), "doc_id", "left").where(F.coalesce("_any", F.lit(True)))
     text = F.coalesce("text", F.lit(""))
     same = F.when(F.col("doc_id").isNull() | (F.col("_rows") > 1), F.regexp_replace(text, SPACE, ""))
     turn = F.row_number().over(W.partitionBy("doc_id", "_same").orderBy(F.length(text).desc()))
@@ -55,7 +55,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates by shingles of five words."""
     gone = minhash.near_duplicates(docs, size=5).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,7 +52,8 @@ def line_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     later = windows.join(firsts.select("x", "y", "first"), ["x", "y"]).where(place != F.col("first"))
     covered = later.groupBy("doc_id", "row_key").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("gone"))
     covered = covered.select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "gone")
-    joined = keyed.join(covered, (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("row_key") == F.col("key")), "left")
+    # One plan at every size: a table of lines to remove grows with the corpus.
+    joined = keyed.join(covered.hint("merge"), (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("row_key") == F.col("key")), "left")
     joined = settled(joined, _lines=F.split(text_or_empty(), "\n"), _gone=F.coalesce("gone", F.expr("array()").cast("array<int>")))
     lines, gone = F.col("_lines"), F.col("_gone")
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i))
