@@ -76,7 +76,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back, so that lost executors cost no recomputation."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
