@@ -8,6 +8,7 @@ from earshot.catalog.base import says, sql, tidy, variant_count, word_hits
 from earshot.functions import text as T
 from earshot.operators import context, history, trailing
 from earshot.plans import fixtures as X
+from earshot.sources import news
 
 
 def label_inputs(spark, sf):
@@ -124,6 +125,18 @@ def recent_news_flag(spark, sf):
     return tidy(history.in_recent_news(X.transcripts(spark, sf), rows).drop("cutoff"))
 
 
+def news_article_flag(spark, sf):
+    """The same flag from landed article files: one array per call, some articles with a title only."""
+    d = F.col("doc_id")
+    article = F.struct(F.concat(F.col("call_date").cast("string"), F.lit(" 08:30:00")).alias("publishedDate"),
+                       F.when(d % 2 == 0, F.col("content")).otherwise("News").alias("title"),
+                       F.when(d % 2 == 1, F.col("content")).alias("text"))
+    files = X.transcripts(spark, sf).select(
+        F.col("ticker").alias("folder"), F.concat("year", F.lit("Q"), "quarter").alias("stem"), F.to_json(F.array(article)).alias("value"))
+    rows = X.markets(spark, sf).select("market_ticker", "ticker", "word", "cutoff")
+    return tidy(history.in_recent_news(news.parse_news(files), rows).drop("cutoff"))
+
+
 NEWS_SQL = sql(X.MARKETS_SQL, f"""
 SELECT m.market_ticker, m.ticker, m.word,
        CAST(coalesce(max(CASE WHEN {says('m.word', 't.content')} THEN 1 ELSE 0 END), 0) AS BIGINT) AS in_recent_news
@@ -249,6 +262,7 @@ QUERIES = {
     "truncated_pair_inputs": (truncated_pair_inputs, TRUNCATED_SQL),
     "seen_before_flag": (seen_before, SEEN_SQL),
     "recent_news_flag": (recent_news_flag, NEWS_SQL),
+    "news_article_flag": (news_article_flag, NEWS_SQL),
     "window_last_calls": (window_last_calls, WINDOW_SQL),
     "trailing_word_features": (trailing_word_features, TRAILING_SQL),
     "sector_peer_rate": (sector_peer_rate, SECTOR_PEER_SQL),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.constants import TRAIN_BEFORE_YEAR, TRANSCRIPT_FEATURES
@@ -55,6 +56,17 @@ def score_markets(history: DataFrame, markets: DataFrame, daily: DataFrame, stag
     return models.with_candle(models.positive_probability(stage1, rows, "tx_prob").drop("features"))
 
 
+def save_stage(model: PipelineModel, train: DataFrame, path: str) -> None:
+    """The fitted model and the medians of its training rows, for a scoring job of its own."""
+    model.write().overwrite().save(f"{path}/model")
+    models.medians(train, list(TRANSCRIPT_FEATURES)).write.mode("overwrite").parquet(f"{path}/medians")
+
+
+def load_stage(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    """(model, medians); the one row of medians stands for the training rows when features are filled."""
+    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/medians")
+
+
 def calibrate(scored: DataFrame, **options):
     """(validation and test rows with final_prob, stage 2 model, chosen C); fitted on validation periods."""
     rows = materialize(splits.temporal_split(scored, train_before=0), "stage1-scored")

@@ -28,6 +28,8 @@ TRANSCRIPTS = (
     "ticker STRING, year INT, quarter INT, content STRING, call_date DATE, source STRING, filename STRING"
 )
 
+RAW_ARTICLES = "ARRAY<STRUCT<publishedDate: STRING, title: STRING, text: STRING>>"
+
 LABELS = (
     "ticker STRING, year INT, quarter INT, call_date DATE, word STRING, mentioned INT, "
     "implied_prob DOUBLE, hist_rate DOUBLE, in_recent_news INT, market_ticker STRING"

@@ -84,3 +84,22 @@ def test_text_features_are_fitted_on_train_only(spark, sf_dir):
     assert feats.count() == labels.count() and feats.first().features.size == vocab.count() + 3
     scored = classical.run_classical(feats, c_values=(1.0,), depths=(3,), n_folds=2).collect()
     assert {(r.model, r.split) for r in scored} == {(m, s) for m in ("logreg", "tree") for s in ("dev", "test")}
+
+
+def test_saved_stage_scores_alike(spark, sf_dir, tmp_path):
+    from earshot.catalog import modeling
+    from earshot.operators import models
+    from earshot.plans import two_stage
+
+    past = modeling.materialize(modeling._moved_history(spark, sf_dir), "history")
+    train = two_stage.stage1_rows(past)
+    model = two_stage.fit_stage1(train, max_iter=2)
+    two_stage.save_stage(model, train, str(tmp_path))
+    loaded, medians = two_stage.load_stage(spark, str(tmp_path))
+    cols = list(two_stage.TRANSCRIPT_FEATURES)
+
+    def scores(by, fitted):
+        rows = models.impute_median(fitted, past, cols)
+        return sorted((r.ticker, r.word, r.period_num, r.p) for r in models.positive_probability(by, rows, "p").collect())
+
+    assert scores(model, train) == scores(loaded, medians)

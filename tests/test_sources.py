@@ -121,3 +121,14 @@ def test_stream_equals_batch(spark, sf_dir):
     batch = scored_quotes(spark, sf_dir).withColumn("tx_prob", F.lit(0.6)).withColumn("final_prob", (F.lit(0.6) + F.col("live_open_mid")) / 2)
     want = score_quotes(batch).select("event_id", "recommendation", "kelly")
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_news_files(spark, tmp_path):
+    from earshot.sources import news
+
+    for name, text in {"2024Q1.json": '[{"publishedDate": "2024-04-02 08:30:00", "title": "AI", "text": "chips"}, {"title": "no date"}]',
+                       "2024Q2.json": "[]", "2024Q3.json": "broken", "notes.json": '[{"publishedDate": "x"}]'}.items():
+        (tmp_path / "KO").mkdir(exist_ok=True)
+        (tmp_path / "KO" / name).write_text(text)
+    rows = {(r.year, r.quarter, r.title): (r.ticker, str(r.call_date), r.content) for r in news.read_news(spark, str(tmp_path)).collect()}
+    assert rows == {(2024, 1, "AI"): ("KO", "2024-04-02", "AI\nchips"), (2024, 1, "no date"): ("KO", "None", "no date\n"), (0, 0, ""): ("KO", "None", "\n")}
