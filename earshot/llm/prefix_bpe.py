@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from earshot.llm.chunk_cache import Remembered
 from earshot.llm.common import arrow_texts, in_batches
 
 # White space as Unicode names it; Python's own class holds U+001C-U+001F besides.
-UNICODE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
+UNICODE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Ranks:
@@ -24,6 +25,7 @@ class Ranks:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.listed = [self.bytes_of.get(rank, b"") for rank in range(max(self.bytes_of) + 1)]
         self.longest = max(map(len, ranks))
         self._spines: dict[tuple[int, bool], list[int]] = {}
         self.pairs = Remembered(lambda pair: self.stand_together(pair >> 32, pair & 0xFFFFFFFF), 500_000)
@@ -36,6 +38,7 @@ class Ranks:
             parts = self._merge(token, rank)
             if len(parts) == 2:
                 self.halves[rank] = (ranks[parts[0]], ranks[parts[1]])
+        self.made = {token: rank for token, rank in ranks.items() if rank in self.halves}
 
     def _merge(self, piece: bytes, below: int) -> list[bytes]:
         """The rank merges on a short piece, with merges of rank below a limit only."""
@@ -98,11 +101,11 @@ class PrefixEncoding:
 
     def _extend(self, upto: int) -> None:
         table, data, last = self.table, self.data, self.last
-        get, pairs, made, longest = table.ranks.get, table.pairs, table.halves, table.longest
+        get, pairs, longest = table.made.get, table.pairs, table.longest
         for end in range(len(last), upto + 1):
             for begin in range(end - longest if end > longest else 0, end):
                 token = get(data[begin:end])
-                if token is not None and token in made and (begin == 0 or pairs[last[begin] << 32 | token]):
+                if token is not None and (begin == 0 or pairs[last[begin] << 32 | token]):
                     last.append(token)
                     break
             else:
@@ -147,7 +150,7 @@ class TextEncoder:
     def _piece(self, text: str) -> bytes:
         data = text.encode("utf-8", "surrogatepass")
         whole = self.table.ranks.get(data)
-        return np.array([whole] if whole is not None else PrefixEncoding(self.table, data).ids(), "<u4").tobytes()
+        return array("I", [whole] if whole is not None else PrefixEncoding(self.table, data).ids()).tobytes()
 
     def _by_matches(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.matches(text)))
@@ -165,7 +168,7 @@ class TextEncoder:
         return np.frombuffer(self._by_matches(first) + b"".join(map(self.after_blank.__getitem__, rest)), "<u4")
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.table.bytes_of.__getitem__, ids))
+        return b"".join(map(self.table.listed.__getitem__, ids))
 
 
 def _explicit_space(pattern: str) -> str:
@@ -215,7 +218,7 @@ def encoding_digests(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path, pattern)
-        text_of = {i: str(i) for i in encoder.table.bytes_of}.__getitem__
+        text_of = [str(i) for i in range(max(encoder.table.bytes_of) + 1)].__getitem__
         for batch in batches:
             lists = batch.column(1)
             values = lists.flatten().to_numpy(zero_copy_only=False)
