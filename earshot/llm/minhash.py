@@ -184,7 +184,14 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
         "key", "cell.lo", "cell.hi", "block", "node", "label", "n_shingles", "marks", "counts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[int, int]] = set()
+        found, size = [], 0  # pairs as arrays, handed on before they grow: no object for each pair
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            if found:
+                a, b = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+                found.clear()
+
         for cell, own, node, label, n, marks, counts in _runs(batches):
             if label.min() == label.max():
                 continue
@@ -198,11 +205,13 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
                 near = near[_share(np.count_nonzero(marks[near] == marks[at], axis=1), marks.shape[1]) >= LEAST_AGREEMENT]
                 most = _most_common(counts[near], counts[at], n[near], int(n[at]))
                 good = near[100 * most >= percent * (n[near] + n[at] - most)]
-                found.update((min(x, int(node[at])), max(x, int(node[at]))) for x in node[good].tolist())
-            if len(found) > 100_000:
-                yield from in_batches(found, schema, lambda row: 16)
-                found = set()
-        yield from in_batches(found, schema, lambda row: 16)
+                if len(good):
+                    found.append(np.stack([np.minimum(node[good], node[at]), np.maximum(node[good], node[at])]))
+                    size += len(good)
+                if size > 100_000:
+                    yield from handed_on()
+                    size = 0
+        yield from handed_on()
 
     return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(
         compare, "a long, b long").distinct()
