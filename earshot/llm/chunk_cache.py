@@ -41,8 +41,8 @@ class ChunkEncoder:
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.width.itemsize == 2 else "I"
         self.tokenize = self.tokenizer.model.tokenize
-        self.known = Remembered(self._chunk)
-        self.pieces = Remembered(self._piece)
+        self.known = Remembered(self._chunk, 500_000)
+        self.pieces = Remembered(self._piece, 200_000)
         self.split = self._splitter()
 
     def _splitter(self) -> Callable[[str], list[str]] | None:

@@ -33,7 +33,7 @@ class Shingler:
     """
 
     def __init__(self, size: int):
-        self.size, self.hashes = size, Remembered(xxhash.xxh3_64_intdigest, 700_000)
+        self.size, self.hashes = size, Remembered(xxhash.xxh3_64_intdigest, 200_000)
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
