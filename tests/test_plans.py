@@ -103,3 +103,18 @@ def test_saved_stage_scores_alike(spark, sf_dir, tmp_path):
         return sorted((r.ticker, r.word, r.period_num, r.p) for r in models.positive_probability(by, rows, "p").collect())
 
     assert scores(model, train) == scores(loaded, medians)
+
+
+@pytest.mark.parametrize("name", ["boosting_importances", "two_stage_backtest"])
+def test_registered_queries_boost_as_many_rounds_as_the_rule(spark, sf_dir, monkeypatch, name):
+    from earshot.operators import models
+
+    class Asked(Exception):
+        pass
+
+    def asked(**options):
+        raise Asked(options["maxIter"])
+
+    monkeypatch.setattr(models, "GBTClassifier", asked)
+    with pytest.raises(Asked, match="^500$"):
+        entry.queries()[name](spark, sf_dir)
