@@ -32,47 +32,65 @@ CLOSES_P = frozenset(
 # An element that opens ends an open one of these, up to the given container.
 ENDS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd dt", ("dl",)), "dd": ("dd dt", ("dl",)), "tr": ("tr td th", ("table",)),
         "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
-# Words in class, id or role that name something around an article.
-AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side-?bar|aside|nav\w*|menu\w*|footer|masthead|"
-    r"cookie\w*|consent|notice\w*|alert|popup|modal|overlay|dialog|comment\w*|repl(?:y|ies)|disqus|respond|social|share\w*|sharing|"
-    r"related|recommend\w*|breadcrumb\w*|pagination|pager|subscribe|newsletter|signup|login|search|toolbar|widget\w*|"
-    r"complementary|contentinfo|navigation|skip-?link\w*|hidden)(?:$|[\s_-])", re.IGNORECASE)
+# Element names above that also wrap whole pages.
+WRAPS = frozenset("form header".split())
+# Classes, ids and roles, in lower case without - and _, that name something around an article.
+AROUND = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising adbanner adblock adbox adcontainer adslot adunit adwrapper "
+    "sponsor sponsors sponsored sponsoredcontent promo promos promobox promotion banner topbanner sitebanner sidebar leftsidebar "
+    "rightsidebar sidebarleft sidebarright sidebarprimary primarysidebar secondarysidebar sidebarwidget aside nav navbar navigation "
+    "navmenu navlinks mainnav mainnavigation sitenav sitenavigation topnav subnav bottomnav postnavigation postnav pagenav menu "
+    "mainmenu topmenu sidemenu footermenu mobilemenu menubar footer sitefooter pagefooter mainfooter footernav footerlinks masthead "
+    "siteheader pageheaderbar topbar cookie cookies cookiebanner cookiebar cookieconsent cookienotice cookiepolicy cookiemessage "
+    "cookiepopup consent consentbanner gdpr gdprbanner notice notices alert alerts popup modal overlay dialog alertdialog comment "
+    "comments commentlist commentform commentsarea commentssection commentsection commentthread commentrespond reply replies disqus "
+    "disqusthread respond social socials socialbar socialicons sociallinks socialmedia socialshare share sharebar sharebuttons "
+    "sharelinks sharing sharetools sharethis addthis related relatedarticles relatedcontent relatedlinks relatedposts relatednews "
+    "relatedstories recommend recommended recommendations recommendedarticles breadcrumb breadcrumbs pagination pager subscribe "
+    "subscription newsletter newslettersignup signup signupform login loginform search searchbar searchbox searchform toolbar widget "
+    "widgets widgetarea complementary contentinfo skiplink skiplinks skipnav skiptocontent hidden visuallyhidden".split())
+# Those that make an article element a comment on another one.
+REMARKS = frozenset("comment comments reply replies respond".split())
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|(?P<text>[^<]+|<)", re.DOTALL)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
 PUNCTUATION = re.compile(r"[.,;:!?¡¿…。，、；：！？؟،]")
 
 
 class _Element:
-    __slots__ = ("name", "path", "around", "up", "number", "depth")
+    """mark is the nearest element, from this one upwards, that may stand around an article."""
 
-    def __init__(self, name: str, up: _Element | None, around: bool, number: int):
-        self.name, self.up, self.number = name, up, number
+    __slots__ = ("name", "path", "mark", "sure", "up", "depth")
+
+    def __init__(self, name: str, up: _Element | None, marked: bool, sure: bool = False):
+        self.name, self.up, self.sure = name, up, sure
         self.path = f"{up.path}>{name}" if up else name
         self.depth = up.depth + 1 if up else 0
-        self.around = around or bool(up and up.around)
+        self.mark: _Element | None = self if marked else up and up.mark
 
 
-def _around(name: str, attrs: str, inside: bool) -> bool:
+def _marked(name: str, attrs: str, inside: bool) -> bool:
+    """Whether an element by its name, class, id, role or as a hidden one may stand around an article."""
     if name in NO_CONTENT or name == "header" and not inside:
         return True
-    if not attrs or name in ("body", "html", "article", "main") and "comment" not in attrs:
+    if not attrs or name in ("body", "html", "main"):
         return False
+    known: dict[str, str] = {}
     for key, value in ATTRIBUTE.findall(attrs):
-        key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if key in ("class", "id", "role") and AROUND.search(value):
-            return True
-    return False
+        value = value[1:].removesuffix(value[0]) if value[:1] in ('"', "'") else value
+        known.setdefault(key.lower(), html.unescape(value))  # the first of a name counts
+    names = {n for key in ("class", "id", "role") for n in known.get(key, "").lower().replace("-", "").replace("_", "").split()}
+    if name == "article":
+        return not names.isdisjoint(REMARKS)
+    return ("hidden" in known or known.get("aria-hidden", "").strip().lower() == "true"
+            or bool(re.search(r"display\s*:\s*none", known.get("style", ""), re.IGNORECASE)) or not names.isdisjoint(AROUND))
 
 
 def blocks_of(page: str) -> list[tuple[_Element, str]]:
     """Text of every block with the block's element, in page order: inline elements belong to the block around them."""
-    root = _Element("", None, False, 0)
-    stack, numbers = [root], 0
+    root = _Element("", None, False)
+    stack = [root]
     out: list[tuple[_Element, str]] = []
     held: list[str] = []
     block = root
@@ -91,9 +109,10 @@ def blocks_of(page: str) -> list[tuple[_Element, str]]:
         text = token["text"] if token["text"] is not None else token["cdata"]
         if text is not None:
             top = next((e for e in reversed(stack) if e.name not in INLINE), root)
-            if top is not block or stack[-1].around != block.around:
+            home = top if stack[-1].mark is top.mark else stack[-1].mark
+            if home is not block:
                 flush()
-                block = stack[-1] if stack[-1].around and not top.around else top
+                block = home
             held.append(html.unescape(text) if token["text"] is not None else text)
             continue
         if token["name"] is None:
@@ -129,9 +148,8 @@ def blocks_of(page: str) -> list[tuple[_Element, str]]:
                     break
         if name in VOID:
             continue
-        numbers += 1
         inside = any(e.name in ("article", "main") for e in stack)
-        element = _Element(name, stack[-1], _around(name, token["attrs"], inside), numbers)
+        element = _Element(name, stack[-1], _marked(name, token["attrs"], inside), name in NO_CONTENT - WRAPS)
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
             at = close.end() if close else end
@@ -142,6 +160,47 @@ def blocks_of(page: str) -> list[tuple[_Element, str]]:
     return out
 
 
+def _marks(element: _Element | None) -> Iterator[_Element]:
+    """The marked elements from this one upwards."""
+    while element and element.mark:
+        yield element.mark
+        element = element.mark.up
+
+
+def _article(element: _Element | None) -> _Element | None:
+    """The nearest article or main that is no remark."""
+    while element and (element.name not in ("article", "main") or element.mark is element):
+        element = element.up
+    return element
+
+
+def without_around(blocks: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
+    """The blocks that stand in no marked element.
+
+    A mark by class, id, role, hiding, form or header does not count where the element holds the article or main with
+    most text or, on a page without these, more than half of the text, each block weighed by length and punctuation.
+    """
+    if not any(e.mark for e, _ in blocks):
+        return blocks
+    open_to = [(e, len(t) * math.log1p(1 + len(PUNCTUATION.findall(t)))) for e, t in blocks if not any(m.sure for m in _marks(e))]
+    articles: dict[_Element, float] = {}
+    held: dict[_Element, float] = {}
+    of: dict[_Element, _Element | None] = {}
+    for element, weight in open_to:
+        if element not in of:
+            of[element] = _article(element)
+        if of[element]:
+            articles[of[element]] = articles.get(of[element], 0.0) + weight
+        for mark in _marks(element):
+            held[mark] = held.get(mark, 0.0) + weight
+    if articles:
+        cleared = set(_marks(max(articles, key=articles.get)))
+    else:
+        half = sum(weight for _, weight in open_to) / 2
+        cleared = {mark for mark, weight in held.items() if weight > half}
+    return [(e, t) for e, t in blocks if all(m in cleared for m in _marks(e))]
+
+
 def path_scores(blocks: list[tuple[_Element, str]]) -> list[float]:
     """Score of every block: text length and punctuation per node of its path, fused by product, smoothed in page order."""
     sums: dict[str, list[float]] = {}
@@ -159,11 +218,11 @@ def path_scores(blocks: list[tuple[_Element, str]]) -> list[float]:
 def main_text(page: str, threshold: float = THRESHOLD) -> str:
     """The article's blocks, one per line.
 
-    Blocks in elements that by name, class, id or role stand around an article are out. Of the rest, paths whose mean
+    Blocks in elements that by name, class, id or role stand around an article are out (see without_around). Of the rest, paths whose mean
     smoothed score reaches the threshold are content; the smallest element that holds their articles (or parents)
     bounds the article, and everything in it belongs to it, short lines and headings too.
     """
-    blocks = [(e, t) for e, t in blocks_of(page) if not e.around]
+    blocks = without_around(blocks_of(page))
     if not blocks:
         return ""
     by_path: dict[str, list[float]] = {}

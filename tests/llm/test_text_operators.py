@@ -254,6 +254,29 @@ def test_main_text(page, want):
     assert html_main.main_text(page) == want
 
 
+TEXT = "A long paragraph, with commas, and words. It goes on, for a while."
+NAMED = [
+    *((f"<body><div class='{c}'><article><p>{TEXT}</p></article></div></body>", TEXT)
+      for c in ("content has-sidebar", "no-sidebar", "overflow-hidden", "menu-open", "sidebar", "search", "content notice")),
+    *((f"<body class='{c}'><article class='{d}'><p>{TEXT}</p></article></body>", TEXT)
+      for c, d in (("comments-open", "has-comments"), ("comments", "post"), ("single no-sidebar", "comment-count-2"))),
+    *((f"<article><p>We saw <a {a}>the valley</a>, and left.</p></article>", "We saw the valley, and left.")
+      for a in ('href="/hidden-gems"', 'title="the hidden valley"', 'data-hidden="false"', 'href="/p?id=search"', "href=/p?id=search",
+                'title="a class=\'ad\' role=search"', "data-class='ad'", "aria-hidden='false'")),
+    (f"<form id='aspnetForm'><div class='sidebar'>Links, more.</div><article><p>{TEXT}</p></article></form>", TEXT),
+    (f"<div id='search'><p>{TEXT}</p><p>{TEXT}</p></div>", f"{TEXT}\n{TEXT}"),
+    (f"<article><p>{TEXT}</p></article><div class='related'><article><p>Short, one.</p></article><article>Two.</article></div>", TEXT),
+    (f"<div class='sidebar'><article><p>{TEXT}</p><span class='share'>Share, now.</span></article></div>", TEXT),
+    (f"<article><p>{TEXT}</p><p class='x' HIDDEN>No, no.</p><p style='Display: none'>No.</p><p id = \"Side_Bar\">No.</p></article>", TEXT),
+    (f"<article><p>{TEXT}</p></article><section id=comments><article class=comment><p>{TEXT} {TEXT}</article></section>", TEXT),
+]
+
+
+@pytest.mark.parametrize("page,want", NAMED)
+def test_names_do_not_take_the_article(page, want):
+    assert html_main.main_text(page) == want
+
+
 def test_pages(spark):
     rows = spark.createDataFrame([(i, "u", page) for i, (page, _) in enumerate(PAGES)] * 2, "page_id long, url string, html string")
     got = html_main.extract_main_text(rows.withColumn("text", F.lit("clash"))).collect()
