@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 
 from earshot.llm.common import arrow_texts, in_batches
 
-# Share of the strongest smoothed path score that a content path reaches.
-THRESHOLD = 0.2
+# Share of the page's mean score (geometric, each block weighed by its punctuation) that a content path reaches.
+THRESHOLD = 0.05
+# Share of the content paths' text that may lie outside the bound of the article.
+OUTSIDE = 0.05
 # Weights of a text node's neighbours on both sides when scores are smoothed.
 KERNEL = (0.25, 0.5, 0.25)
 
@@ -201,6 +203,61 @@ def without_around(blocks: list[tuple[_Element, str]]) -> list[tuple[_Element, s
     return [(e, t) for e, t in blocks if all(m in cleared for m in _marks(e))]
 
 
+def path_scores(blocks: list[tuple[_Element, str]]) -> list[float]:
+    """Log score of every block: mean text length times mean punctuation of its path, smoothed in page order."""
+    sums: dict[str, list[float]] = {}
+    for element, text in blocks:
+        total = sums.setdefault(element.path, [0.0, 0.0, 0.0])
+        total[0] += len(text)
+        total[1] += len(PUNCTUATION.findall(text))
+        total[2] += 1
+    fused = {path: math.log(size / n) + math.log1p(marks / n) for path, (size, marks, n) in sums.items()}
+    raw = [fused[element.path] for element, _ in blocks]
+    padded = [raw[0], *raw, raw[-1]] if raw else []
+    return [sum(w * padded[k + j] for j, w in enumerate(KERNEL)) for k in range(len(raw))]
+
+
+def _marks(element: _Element | None) -> Iterator[_Element]:
+    """The marked elements from this one upwards."""
+    while element and element.mark:
+        yield element.mark
+        element = element.mark.up
+
+
+def _article(element: _Element | None) -> _Element | None:
+    """The nearest article or main that is no remark."""
+    while element and (element.name not in ("article", "main") or element.mark is element):
+        element = element.up
+    return element
+
+
+def without_around(blocks: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
+    """The blocks that stand in no marked element.
+
+    A mark by class, id, role, hiding, form or header does not count where the element holds the article or main with
+    most text or, on a page without these, more than half of the text, each block weighed by length and punctuation.
+    """
+    if not any(e.mark for e, _ in blocks):
+        return blocks
+    open_to = [(e, len(t) * math.log1p(1 + len(PUNCTUATION.findall(t)))) for e, t in blocks if not any(m.sure for m in _marks(e))]
+    articles: dict[_Element, float] = {}
+    held: dict[_Element, float] = {}
+    of: dict[_Element, _Element | None] = {}
+    for element, weight in open_to:
+        if element not in of:
+            of[element] = _article(element)
+        if of[element]:
+            articles[of[element]] = articles.get(of[element], 0.0) + weight
+        for mark in _marks(element):
+            held[mark] = held.get(mark, 0.0) + weight
+    if articles:
+        cleared = set(_marks(max(articles, key=articles.get)))
+    else:
+        half = sum(weight for _, weight in open_to) / 2
+        cleared = {mark for mark, weight in held.items() if weight > half}
+    return [(e, t) for e, t in blocks if all(m in cleared for m in _marks(e))]
+
+
 def path_scores(blocks: list[tuple[_Element, str]]) -> list[float]:
     """Score of every block: text length and punctuation per node of its path, fused by product, smoothed in page order."""
     sums: dict[str, list[float]] = {}
@@ -218,41 +275,62 @@ def path_scores(blocks: list[tuple[_Element, str]]) -> list[float]:
 def main_text(page: str, threshold: float = THRESHOLD) -> str:
     """The article's blocks, one per line.
 
-    Blocks in elements that by name, class, id or role stand around an article are out (see without_around). Of the rest, paths whose mean
-    smoothed score reaches the threshold are content; the smallest element that holds their articles (or parents)
-    bounds the article, and everything in it belongs to it, short lines and headings too.
+    Blocks in elements that by name, class, id or role stand around an article are out (see without_around). Of the
+    rest, paths whose mean smoothed score reaches the threshold are content. The smallest element that holds nearly all
+    text of content paths, or the article around it, bounds the result. An article element is taken whole; in any other
+    bound, blocks below the threshold stay only as headings before content or between the first and the last content.
     """
     blocks = without_around(blocks_of(page))
     if not blocks:
         return ""
+    scores = path_scores(blocks)
     by_path: dict[str, list[float]] = {}
-    for (element, _), score in zip(blocks, path_scores(blocks)):
+    for (element, _), score in zip(blocks, scores):
         by_path.setdefault(element.path, []).append(score)
     means = {path: sum(s) / len(s) for path, s in by_path.items()}
-    least = threshold * max(means.values())
-    bounds = {id(c): c for e, _ in blocks if means[e.path] >= least for c in (_container(e),)}
-    shared = None
-    for element in bounds.values():
-        shared = element if shared is None else _meet(shared, element)
-    return "\n".join(text for element, text in blocks if _within(element, shared))
-
-
-def _container(element: _Element) -> _Element:
-    at, found = element, None
+    weights = [len(PUNCTUATION.findall(text)) for _, text in blocks]
+    if not any(weights):
+        weights = [len(text) for _, text in blocks]
+    usual = sum(w * means[e.path] for w, (e, _) in zip(weights, blocks)) / sum(weights)
+    least = min(usual + math.log(threshold), max(means.values()))
+    content = [means[e.path] >= least for e, _ in blocks]
+    bound, whole = _bound([block for block, is_content in zip(blocks, content) if is_content])
+    inside = [(e, t, c) for (e, t), c in zip(blocks, content) if _within(e, bound)]
+    places = [k for k, (_, _, c) in enumerate(inside) if c]
+    if whole or not places:
+        return "\n".join(t for _, t, _ in inside)
+    first, last = places[0], places[-1]
+    return "\n".join(t for k, (e, t, c) in enumerate(inside) if first <= k <= last or k < first and _heading(e))
+
+
+def _bound(content: list[tuple[_Element, str]]) -> tuple[_Element, bool]:
+    """(the smallest element that holds all but OUTSIDE of the content's text, or the article around it; is it an article)."""
+    held: dict[_Element, int] = {}
+    total = sum(len(text) for _, text in content)
+    for element, text in content:
+        at = element.up or element
+        held[at] = held.get(at, 0) + len(text)
+        while at.up and at.up not in held:
+            at = at.up
+            held[at] = 0
+    for element in sorted(held, key=lambda e: -e.depth):
+        if element.up:
+            held[element.up] += held[element]
+    bound = max((e for e, size in held.items() if size >= (1 - OUTSIDE) * total), key=lambda e: e.depth)
+    found, at = None, bound
     while at:
-        if at.name in ("article", "main"):
+        if at.name == "article" or at.name == "main" and found is None:
             found = at
         at = at.up
-    return found or element.up or element
+    return found or bound, bool(found and found.name == "article")
 
 
-def _meet(a: _Element, b: _Element) -> _Element:
-    while a is not b:
-        if a.depth >= b.depth:
-            a = a.up
-        else:
-            b = b.up
-    return a
+def _heading(element: _Element | None) -> bool:
+    while element:
+        if element.name in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"):
+            return True
+        element = element.up
+    return False
 
 
 def _within(element: _Element, bound: _Element) -> bool:

@@ -277,6 +277,23 @@ def test_names_do_not_take_the_article(page, want):
     assert html_main.main_text(page) == want
 
 
+LONG = " ".join(["The valley was quiet, and nobody, so they say, had seen it."] * 8)
+MENU = "<ul><li><a>Home</a></li><li><a>World news</a></li><li><a>Sport</a></li></ul>"
+TEASER = "<div>Read what else happened in town today.</div>"
+UNNAMED = [
+    (f"<body>{TEASER}{MENU}<div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></div>{TEASER}{MENU}</body>", f"Title\n{LONG}\n{LONG}"),
+    (f"<body>{TEASER}<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p>Bye.</article>{MENU}</body>", f"Title\n{LONG}\n{LONG}\nBye."),
+    (f"<body><main>{MENU}<h1>Title</h1><p>{LONG}</p><ul><li>one</ul><p>{LONG}</p>{TEASER}</main></body>", f"Title\n{LONG}\none\n{LONG}"),
+    (f"<body>{MENU * 30}<div><p>{LONG}</p><h2>Next</h2><p>{LONG}</p></div>{MENU * 30}</body>", f"{LONG}\nNext\n{LONG}"),
+    (f"<div><section><p>{LONG}</p></section><section><p>{LONG}</p></section></div><div>Ok</div>", f"{LONG}\n{LONG}"),
+]
+
+
+@pytest.mark.parametrize("page,want", UNNAMED)
+def test_paths_tell_the_article_without_names(page, want):
+    assert html_main.main_text(page) == want
+
+
 def test_pages(spark):
     rows = spark.createDataFrame([(i, "u", page) for i, (page, _) in enumerate(PAGES)] * 2, "page_id long, url string, html string")
     got = html_main.extract_main_text(rows.withColumn("text", F.lit("clash"))).collect()
