@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.llm import exact_dedup, language_id, minhash, packing, quality
-from earshot.llm.common import SPACE, table
+from earshot.llm.common import SPACE_BYTES, table
 from earshot.session import materialize
 
 
@@ -38,18 +38,23 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts.
+    """One row of each group of equal texts, also where rows share a doc_id or have none.
 
-    Rows are found again by doc_id. Where several rows share one that stays, the longest of equal texts among them
-    stays. Rows without doc_id give way only to each other.
+    Rows are found again by doc_id and the hash of the text without white space. Of rows that share both, the longest
+    stays, as in the operator; rows that differ in neither these nor in length are told apart by nothing it looks at.
     """
-    seen = exact_dedup.exact_duplicates(docs).groupBy("doc_id").agg(
+    seen = exact_dedup.exact_duplicates(docs).groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("_any"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1 OR NOT _any")
-    left = _carried(docs).join(seen.hint("merge"), "doc_id", "left").where(F.coalesce("_any", F.lit(True)))
+    seen = seen.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_of"), "_any", "_rows")
     text = F.coalesce("text", F.lit(""))
-    same = F.when(F.col("doc_id").isNull() | (F.col("_rows") > 1), F.regexp_replace(text, SPACE, ""))
+    plain = text
+    for space in SPACE_BYTES.decode():
+        plain = F.replace(plain, F.lit(space), F.lit(""))
+    rows = _carried(docs).withColumn("_same", F.sha2(plain.cast("binary"), 256))
+    left = rows.join(seen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_same") == F.col("_of")), "left")
+    left = left.where(F.coalesce("_any", F.lit(True)))
     turn = F.row_number().over(W.partitionBy("doc_id", "_same").orderBy(F.length(text).desc()))
-    return _restored(left.withColumn("_same", same).withColumn("_turn", turn).where("_turn = 1"), docs)
+    return _restored(left.withColumn("_turn", turn).where("_turn = 1"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -323,3 +323,11 @@ def test_pipeline_on_nothing(spark):
         after = stage(spark, docs, SF)
         assert after.count() == 0
         docs = after if "text" in after.columns else docs
+
+
+def test_copies_are_dropped_row_by_row(spark):
+    rows = [(1, "a b"), (2, "ab"), (2, "other"), (None, "other"), (None, "ot her"), (None, "alone"), (3, "x"), (3, "x"), (3, "y"),
+            (4, None), (5, " \t\x0b\x0c\r\n"), (None, "")]
+    kept = corpus_pipeline.drop_copies(spark, _frame(spark, rows), SF)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, "a b"), (None, "ot her"), (None, "alone"), (3, "x"), (3, "y"), (5, " \t\x0b\x0c\r\n")], key=str)
