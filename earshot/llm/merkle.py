@@ -10,6 +10,8 @@ from earshot.session import broadcast_if_small, materialize
 
 # Nodes hashed together in one row while levels are built: ten levels at a time.
 RUN_LEVELS = 10
+# Levels that one step of the climb ascends: a node's row names the node so far above it and the siblings on the way.
+STRIDE = 5
 # A node with more than one part in so many of all leaves below it is broad. No level has more broad nodes than that,
 # and no other node has more leaves.
 SHARES = 8192
@@ -72,10 +74,11 @@ def placed(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
 
 
 def _climbed_runs(level: DataFrame) -> DataFrame:
-    """Nodes of RUN_LEVELS levels above the given one, each with the siblings of its run of two.
+    """RUN_LEVELS levels built above the given one: the nodes that steps start from, and the last of each run (top).
 
     level: tree, level, pos, digest, below and size, the tree's nodes on that level. A tree of one run ends at its single
-    node; in others every run is climbed equally far, its last one too. The node that no further one stands above is top.
+    node; in others every run is climbed equally far, its last one too. Steps start from every STRIDE-th level; path holds
+    the siblings met by one step, left or right ones, neither where an odd node stands alone.
     """
     rows = level.groupBy("tree", "level", "size", F.shiftright("pos", RUN_LEVELS).alias("run")).agg(
         F.array_sort(F.collect_list(F.struct("pos", "digest", "below"))).alias("n0"))
@@ -93,25 +96,35 @@ def _climbed_runs(level: DataFrame) -> DataFrame:
         rows = rows.select("*", F.inline(F.array(F.struct(
             F.when((count > 1) | (~whole & (count > 0)), made).otherwise(empty).alias(f"n{k + 1}")))))
 
-    def linked(k: int) -> Column:
-        under, upper = F.col(f"n{k}"), F.col(f"n{k + 1}") if k < RUN_LEVELS else empty
+    def row(k: int, node: Column, path: Column, up_below: Column, top: bool) -> Column:
+        return F.struct((F.col("level") + k).alias("level"), node["pos"].alias("pos"), node["digest"].alias("digest"),
+                        node["below"].alias("below"), path.alias("path"), up_below.alias("up_below"), F.lit(top).alias("top"))
 
-        def row(node: Column, i: Column) -> Column:
-            over = F.get(upper, F.shiftright(i, 1))
-            return F.struct(
-                (F.col("level") + k).alias("level"), node["pos"].alias("pos"), node["digest"].alias("digest"), node["below"].alias("below"),
-                F.when(over.isNotNull() & (i % 2 == 1), F.get(under, i - 1)["digest"]).alias("left"),
-                F.when(over.isNotNull() & (i % 2 == 0), F.get(under, i + 1)["digest"]).alias("right"),
-                over["below"].alias("up_below"), over.isNull().alias("top"))
+    def steps(k: int) -> Column:
+        def one(node: Column, i: Column) -> Column:
+            met, over = [], []
+            for j in range(k, k + STRIDE):
+                at = F.shiftright(i, j - k)
+                parent = F.get(f"n{j + 1}", F.shiftright(at, 1))
+                over.insert(0, parent["below"])
+                met.append(F.when(parent.isNotNull(), F.struct(
+                    F.when(at % 2 == 1, F.get(f"n{j}", at - 1)["digest"]).alias("left"),
+                    F.when(at % 2 == 0, F.get(f"n{j}", at + 1)["digest"]).alias("right"))))
+            return row(k, node, F.array_compact(F.array(*met)), F.coalesce(*over), False)
 
-        return F.transform(under, row)
+        return F.when(F.size(f"n{k + 1}") > 0, F.transform(f"n{k}", one))
 
-    return rows.select("tree", whole.alias("ended"), F.explode(F.array(*(linked(k) for k in range(RUN_LEVELS + 1)))).alias("made")).select(
-        "tree", "ended", F.inline("made"))
+    def tops(k: int) -> Column:
+        no_path = F.array().cast("array<struct<left:binary,right:binary>>")
+        last = F.transform(f"n{k}", lambda node: row(k, node, no_path, F.lit(None).cast("long"), True))
+        return F.when(F.size(f"n{k + 1}") == 0, last) if k < RUN_LEVELS else last
+
+    parts = F.array(*(steps(k) for k in range(0, RUN_LEVELS, STRIDE)), *(tops(k) for k in range(RUN_LEVELS + 1)))
+    return rows.select("tree", whole.alias("ended"), F.explode(parts).alias("made")).select("tree", "ended", F.inline("made"))
 
 
 def built(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes of every tree that have a parent (tree, level, pos, digest, below, left, right, up_below), and its last node.
+    """The nodes that steps start from (tree, level, pos, digest, below, path, up_level, up_pos, up_below), and the last node of every tree.
 
     leaves: tree, pos, digest and below, the leaves of the whole manifest under each.
     """
@@ -119,7 +132,9 @@ def built(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
     while level is not None:
         sizes = level.groupBy(F.col("tree").alias("_tree")).agg((F.max("pos") + 1).alias("size"))
         made = materialize(_climbed_runs(level.join(broadcast_if_small(sizes), F.col("tree") == F.col("_tree"))), "levels")
-        nodes.append(made.where("NOT top").select("tree", "level", "pos", "digest", "below", "left", "right", "up_below"))
+        nodes.append(made.where("NOT top").selectExpr(
+            "tree", "level", "pos", "digest", "below", "path", "level + size(path) AS up_level",
+            "shiftright(pos, size(path)) AS up_pos", "up_below"))
         tops.append(made.where("top AND ended").select("tree", F.col("level").alias("height"), "digest", "below"))
         level = made.where("top AND NOT ended").select("tree", "level", "pos", "digest", "below")
         level = None if level.isEmpty() else level
@@ -135,11 +150,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 CLIMB = """
 WITH RECURSIVE climb AS (
-  SELECT row, step, doc_id, leaf, folded, left, right, subroot, root, up_tree, up_level, up_pos, up_broad FROM {start}
+  SELECT row, step, doc_id, leaf, folded, path, subroot, root, up_tree, up_level, up_pos, up_broad FROM {start}
   UNION ALL
   SELECT HINT c.row, c.step + 1 AS step, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS BINARY) AS leaf,
-         unhex(sha2(CAST(concat(coalesce(lower(hex(c.left)), ''), lower(hex(c.folded)), coalesce(lower(hex(c.right)), '')) AS BINARY), 256)) AS folded,
-         n.left, n.right, n.subroot, n.root, n.up_tree, n.up_level, n.up_pos, n.up_broad
+         aggregate(c.path, c.folded, (h, s) -> unhex(sha2(CAST(
+             concat(coalesce(lower(hex(s.left)), ''), lower(hex(h)), coalesce(lower(hex(s.right)), '')) AS BINARY), 256))) AS folded,
+         n.path, n.subroot, n.root, n.up_tree, n.up_level, n.up_pos, n.up_broad
   FROM climb c JOIN {nodes} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos
 )
 SELECT * FROM climb
@@ -152,32 +168,29 @@ def _climb(start: DataFrame, nodes: DataFrame, broad: bool) -> DataFrame:
 
 
 def node_table(leaves: DataFrame, total: int) -> DataFrame:
-    """Stored nodes (tree, level, pos) with siblings and parent; only the upper tree's last node has no parent.
+    """Stored nodes (tree, level, pos) that steps start from, with the node each leads to; the last node leads nowhere.
 
     leaves: tree, pos, digest, total of them. A tree's last node is that leaf of the upper tree whose pos is the tree's
-    number. subroot and root hold the digests of such nodes; broad and up_broad tell nodes and parents that are broad.
+    number. subroot and root hold the digests of such nodes; broad and up_broad tell nodes and aims that are broad.
     """
     nodes, tops = built(leaves.withColumn("below", F.lit(1).cast("long")))
     lower = nodes.join(broadcast_if_small(tops.select(F.col("tree").alias("_tree"), "height")), F.col("tree") == F.col("_tree"))
-    inside = F.col("level") + 1 < F.col("height")
-    no_digest, no_key = F.lit(None).cast("binary"), F.lit(None).cast("long")
+    inside = F.col("up_level") < F.col("height")
+    no_digest, top_tree = F.lit(None).cast("binary"), F.lit(UPPER).cast("long")
     broad, up_broad = ((F.col(c) * SHARES > total).alias(n) for c, n in (("below", "broad"), ("up_below", "up_broad")))
-    top_tree = F.lit(UPPER).cast("long")
     lower = lower.select(
-        "tree", "level", "pos", "left", "right", no_digest.alias("subroot"), no_digest.alias("root"), "below", broad,
-        F.when(inside, F.col("tree")).otherwise(top_tree).alias("up_tree"),
-        F.when(inside, F.col("level") + 1).otherwise(0).alias("up_level"),
-        F.when(inside, F.shiftright("pos", 1)).otherwise(F.col("tree")).alias("up_pos"), up_broad)
+        "tree", "level", "pos", "path", no_digest.alias("subroot"), no_digest.alias("root"), "below", broad,
+        F.when(inside, F.col("tree")).otherwise(top_tree).alias("up_tree"), F.when(inside, F.col("up_level")).otherwise(0).alias("up_level"),
+        F.when(inside, F.col("up_pos")).otherwise(F.col("tree")).alias("up_pos"), up_broad)
 
     nodes, last = built(tops.select(top_tree.alias("tree"), F.col("tree").alias("pos"), "digest", "below"))
     subroot = F.when(F.col("level") == 0, F.col("digest")).alias("subroot")
-    upper = nodes.select(
-        "tree", "level", "pos", "left", "right", subroot, no_digest.alias("root"), "below", broad, top_tree.alias("up_tree"),
-        (F.col("level") + 1).alias("up_level"), F.shiftright("pos", 1).alias("up_pos"), up_broad)
+    upper = nodes.select("tree", "level", "pos", "path", subroot, no_digest.alias("root"), "below", broad,
+                         top_tree.alias("up_tree"), "up_level", "up_pos", up_broad)
     last = last.withColumnRenamed("height", "level").select(
-        "tree", "level", F.lit(0).cast("long").alias("pos"), no_digest.alias("left"), no_digest.alias("right"), subroot,
-        F.col("digest").alias("root"), "below", broad, no_key.alias("up_tree"), no_key.cast("int").alias("up_level"),
-        no_key.alias("up_pos"), F.lit(False).alias("up_broad"))
+        "tree", "level", F.lit(0).cast("long").alias("pos"), F.array().cast("array<struct<left:binary,right:binary>>").alias("path"),
+        subroot, F.col("digest").alias("root"), "below", broad, F.lit(None).cast("long").alias("up_tree"),
+        F.lit(None).cast("int").alias("up_level"), F.lit(None).cast("long").alias("up_pos"), F.lit(False).alias("up_broad"))
     return materialize(lower.union(upper).union(last), "nodes")
 
 
@@ -190,7 +203,7 @@ def climbed(start: DataFrame, nodes: DataFrame) -> DataFrame:
     in_lower = F.col("tree") >= 0
     own = nodes.where("level = 0 AND (tree >= 0 OR below = 1)").select(
         F.when(in_lower, F.col("tree")).otherwise(F.col("pos")).alias("tree"), F.when(in_lower, F.col("pos")).otherwise(0).alias("pos"),
-        "left", "right", "subroot", "root", "up_tree", "up_level", "up_pos", "up_broad")
+        "path", "subroot", "root", "up_tree", "up_level", "up_pos", "up_broad")
     begun = start.withColumnRenamed("tampered", "folded").withColumn("step", F.lit(0)).join(own, ["tree", "pos"])
     low = materialize(_climb(begun, nodes.where("NOT broad"), broad=False), "climb")
     high = _climb(low.where("up_broad"), nodes.where("broad"), broad=True)
@@ -205,8 +218,9 @@ def merkle_manifest(leaves: DataFrame) -> DataFrame:
     The subroots, null lang first, then by bytes, form the upper tree in the same way.
 
     Levels are built from runs of 1,024 nodes, so neither a language nor a level is one task's, and stored as rows that
-    name their parent and siblings. A recursive query climbs for every leaf at once: each step joins the parent's row,
-    appends its sibling, and folds the tampered hash. It stops below broad nodes, whose number is bounded; these are
+    name the node above and the siblings on the way. A recursive query climbs for every leaf at once: each step folds
+    the tampered hash with the siblings of its node, joins the row above and appends that row's siblings. A step ascends
+    up to STRIDE levels, so that fewer rows are shuffled. It stops below broad nodes, whose number is bounded; these are
     broadcast to a second recursive query that goes on from there. So no node draws its leaves to one task.
 
     Rows that repeat a doc_id are leaves of their own. Other columns are not read; an empty table gives no row.
@@ -224,12 +238,12 @@ def merkle_manifest(leaves: DataFrame) -> DataFrame:
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")
     try:
-        sibling = F.coalesce("left", "right")
         paths = climbed(based, nodes).groupBy("row").agg(
             *(F.max(c).alias(c) for c in ("doc_id", "leaf", "subroot", "root")),
             F.max(F.when(F.col("root").isNotNull(), F.col("folded"))).alias("folded_root"),
-            F.array_sort(F.collect_list(F.when(sibling.isNotNull(), F.struct("step", sibling.alias("sibling"))))).alias("proof"))
-        proof = F.array_join(F.transform("proof", lambda x: _hex(x["sibling"])), "")
+            F.array_sort(F.collect_list(F.struct("step", "path"))).alias("steps"))
+        met = F.flatten(F.transform("steps", lambda s: s["path"]))
+        proof = F.array_join(F.transform(met, lambda s: F.coalesce(_hex(s["left"]), _hex(s["right"]), F.lit(""))), "")
         return materialize(paths.select(
             "doc_id", *(_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")), F.sha2(proof.cast("binary"), 256).alias("proof_sha256"),
             _hex(F.col("folded_root")).alias("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified")), "manifest")

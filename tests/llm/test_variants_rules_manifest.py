@@ -182,7 +182,8 @@ def manifest(df):
 
 @pytest.mark.parametrize("shape", ["many", "one", "lone", "odd"])
 def test_manifest_equals_brute_force(spark, monkeypatch, shape):
-    monkeypatch.setattr(merkle, "RUN_LEVELS", 2)
+    monkeypatch.setattr(merkle, "RUN_LEVELS", 2 if shape == "one" else 4)
+    monkeypatch.setattr(merkle, "STRIDE", 1 if shape == "one" else 2)
     monkeypatch.setattr(merkle, "SHARES", 4)
     draw = random.Random(3)
     if shape == "many":
