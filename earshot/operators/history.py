@@ -42,12 +42,12 @@ def prior_doc_stats(docs: DataFrame, cutoffs: DataFrame, measures: dict[str, obj
     return running_before(daily, cutoffs.select("ticker", "cutoff"), ["ticker"], ["n_prior", *measures])
 
 
-def mention_rates(docs: DataFrame, targets: DataFrame, measure=whole_word, broadcast: bool | None = None) -> DataFrame:
+def mention_rates(docs: DataFrame, targets: DataFrame, measure=whole_word) -> DataFrame:
     """(ticker, word, cutoff, hist_rate) for distinct targets; null where nothing precedes the cutoff."""
     targets = targets.select("ticker", "word", "cutoff").where(F.col("cutoff").isNotNull()).distinct()
     dated = docs.where(F.col("call_date").isNotNull())
     daily_hits = (
-        mention_hits(dated, targets, measure, keep=("call_date",), broadcast=broadcast)
+        mention_hits(dated, targets, measure, keep=("call_date",))
         .groupBy("ticker", "word", "call_date").agg(F.count(F.lit(1)).alias("n_hits"))
     )
     hits = running_before(daily_hits, targets, ["ticker", "word"], ["n_hits"])
@@ -58,7 +58,7 @@ def mention_rates(docs: DataFrame, targets: DataFrame, measure=whole_word, broad
     )
 
 
-def build_labels(docs: DataFrame, markets: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def build_labels(docs: DataFrame, markets: DataFrame) -> DataFrame:
     """The label table: outcome, price and history rate per market."""
     rows = markets.where(F.col("word").isNotNull()).select(
         F.col("company_label").alias("ticker"), "word", F.lower("word").alias("word_key"),
@@ -67,7 +67,7 @@ def build_labels(docs: DataFrame, markets: DataFrame, broadcast: bool | None = N
         periods.prediction_date(F.col("close_date"), F.col("settlement_date")).alias("cutoff"),
         market.text_or_blank(F.col("market_ticker")).alias("market_ticker"),
     )
-    rates = mention_rates(docs, rows.select("ticker", F.col("word_key").alias("word"), "cutoff"), broadcast=broadcast)
+    rates = mention_rates(docs, rows.select("ticker", F.col("word_key").alias("word"), "cutoff"))
     return (
         rows.join(rates.withColumnRenamed("word", "word_key"), ["ticker", "word_key", "cutoff"], "left")
         .select(
@@ -79,7 +79,7 @@ def build_labels(docs: DataFrame, markets: DataFrame, broadcast: bool | None = N
     )
 
 
-def seen_before(docs: DataFrame, rows: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def seen_before(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """rows + word_seen_before: 1 / 0, or null when the row has no date or nothing precedes it.
 
     The first date a word was said, and the first call of a ticker, decide it; no range join is needed.
@@ -88,7 +88,7 @@ def seen_before(docs: DataFrame, rows: DataFrame, broadcast: bool | None = None)
     keyed = rows.withColumn("word_key", F.lower("word"))
     first_said = (
         mention_hits(dated, keyed.select("ticker", F.col("word_key").alias("word")), substring,
-                     keep=("call_date",), broadcast=broadcast)
+                     keep=("call_date",))
         .groupBy("ticker", F.col("word").alias("word_key")).agg(F.min("call_date").alias("first_said"))
     )
     first_call = dated.groupBy("ticker").agg(F.min("call_date").alias("first_call"))
@@ -103,7 +103,7 @@ def seen_before(docs: DataFrame, rows: DataFrame, broadcast: bool | None = None)
     )
 
 
-def in_recent_news(news: DataFrame, rows: DataFrame, days: int = 30, broadcast: bool | None = None) -> DataFrame:
+def in_recent_news(news: DataFrame, rows: DataFrame, days: int = 30) -> DataFrame:
     """rows + in_recent_news: 1 when an article in [cutoff - days, cutoff] mentions the word.
 
     The latest mention on or before the cutoff decides; it is carried forward over daily rows.
@@ -113,7 +113,7 @@ def in_recent_news(news: DataFrame, rows: DataFrame, days: int = 30, broadcast:
     targets = (
         keyed.where(F.col("cutoff").isNotNull()).select("ticker", F.col("word_key").alias("word"), "cutoff").distinct()
     )
-    daily = mention_hits(dated, targets, whole_word, keep=("call_date",), broadcast=broadcast).select(
+    daily = mention_hits(dated, targets, whole_word, keep=("call_date",)).select(
         "ticker", "word", F.col("call_date").alias("at")
     ).distinct()
     both = daily.withColumn("is_target", F.lit(0)).unionByName(

@@ -9,7 +9,7 @@ from earshot.constants import HISTORY_WINDOW
 from earshot.functions import periods
 from earshot.functions import words as W
 from earshot.operators.mentions import mention_hits, variant_count
-from earshot.session import broadcast_if_small
+from earshot.session import materialize
 
 
 def with_sort_key(docs: DataFrame) -> DataFrame:
@@ -39,13 +39,16 @@ def window_docs(docs: DataFrame, targets: DataFrame, size: int = HISTORY_WINDOW)
     )
 
 
-def window_counts(docs: DataFrame, targets: DataFrame, size: int = HISTORY_WINDOW,
-                  broadcast: bool | None = None) -> DataFrame:
-    """(ticker, word, target_period, rank, cnt) with a zero for calls that never say the word."""
+def window_counts(docs: DataFrame, targets: DataFrame, size: int = HISTORY_WINDOW, hits: DataFrame | None = None) -> DataFrame:
+    """(ticker, word, target_period, rank, cnt) with a zero for calls that never say the word.
+
+    Words are counted where texts are read; windows meet the narrow counts (ticker, word, doc_id, hits), which a caller
+    that holds them may hand in.
+    """
     targets = targets.select("ticker", "word", "target_period").distinct()
     calls = window_docs(docs, targets, size)
-    needed = broadcast_if_small(calls.select("doc_id").distinct())
-    hits = mention_hits(docs.join(needed, "doc_id", "left_semi"), targets, variant_count, broadcast=broadcast)
+    if hits is None:
+        hits = mention_hits(docs, targets, variant_count)
     return (
         targets.join(calls, ["ticker", "target_period"])
         .join(hits.select("ticker", "word", "doc_id", "hits"), ["ticker", "word", "doc_id"], "left")
@@ -90,9 +93,8 @@ def word_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def word_features(docs: DataFrame, targets: DataFrame, size: int = HISTORY_WINDOW,
-                  broadcast: bool | None = None) -> DataFrame:
-    return word_shape(trailing_features(window_counts(docs, targets, size, broadcast)))
+def word_features(docs: DataFrame, targets: DataFrame, size: int = HISTORY_WINDOW, hits: DataFrame | None = None) -> DataFrame:
+    return word_shape(trailing_features(window_counts(docs, targets, size, hits)))
 
 
 def sector_period_means(features: DataFrame) -> DataFrame:
@@ -103,7 +105,12 @@ def sector_period_means(features: DataFrame) -> DataFrame:
 
 
 def with_sector_peers(features: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """Mean base rate of the same sector and word exactly one period earlier, else the row's own rate."""
+    """Mean base rate of the same sector and word exactly one period earlier, else the row's own rate.
+
+    Features that are their own history are written first, so that they are worked out once.
+    """
+    if history is None:
+        features = materialize(features, "word-features")
     prior = sector_period_means(features if history is None else history).withColumn("period_num", F.col("period_num") + 1)
     return features.join(prior, ["sector", "word", "period_num"], "left").withColumn(
         "sector_peer_base_rate", F.coalesce("sector_peer_base_rate", "base_rate")

@@ -16,7 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One call per document; every 29th call has no date, several calls share a date."""
+    """One call per document; every 29th call has no date, several calls share a date.
+
+    The test tables are single files of one row group, which one task reads: their rows are spread here.
+    """
+    return spread_if_small(_calls(spark, sf_dir), "doc_id")
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     base = F.date_add(F.lit("2022-06-01").cast("date"), (F.lit(2) * ((F.col("doc_id") * 33) % 740)).cast("int"))
     return (
@@ -47,7 +54,7 @@ t AS (
 def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One settled market per labelled document."""
     labels = table(spark, sf_dir, "labels")
-    calls = transcripts(spark, sf_dir).select("doc_id", "ticker", "base_date")
+    calls = _calls(spark, sf_dir).select("doc_id", "ticker", "base_date")
     d = F.col("doc_id")
     family = F.when(F.substring("ticker", 4, 10).cast("int") % 5 == 0, "KXMENTIONEARN").otherwise("KXEARNINGSMENTION")
     mentioned = F.col("quality") * (1 - F.col("toxic"))
@@ -196,7 +203,7 @@ def _pick(values: tuple[str, ...]):
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole transcript files (file_name, value) with header, operator line, boilerplate and footer."""
     d = F.col("doc_id")
-    t = spread_if_small(transcripts(spark, sf_dir), "doc_id")
+    t = transcripts(spark, sf_dir)
     good = F.concat_ws(
         "_", F.lit("SRC"), F.col("year").cast("string"), F.concat(F.lit("Q"), F.col("quarter").cast("string"))
     )

@@ -18,12 +18,12 @@ def word_history(docs: DataFrame, vocab: DataFrame, sectors: DataFrame | None =
     words = vocab.select("ticker", "word").distinct()
     calls = docs.select("ticker", "period_num").where(F.col("period_num").isNotNull()).distinct()
     targets = calls.join(words, "ticker").withColumnRenamed("period_num", "target_period")
+    hits = materialize(mention_hits(docs, words, variant_count, keep=("period_num",)), "word-hits")
     said = (
-        mention_hits(docs, words, variant_count, keep=("period_num",))
-        .select("ticker", "word", F.col("period_num").alias("target_period"), F.lit(1).alias("word_said")).distinct()
+        hits.select("ticker", "word", F.col("period_num").alias("target_period"), F.lit(1).alias("word_said")).distinct()
     )
     rows = (
-        trailing.word_features(docs, targets).join(said, ["ticker", "word", "target_period"], "left")
+        trailing.word_features(docs, targets, hits=hits).join(said, ["ticker", "word", "target_period"], "left")
         .withColumn("word_said", F.coalesce("word_said", F.lit(0))).withColumnRenamed("target_period", "period_num")
         .withColumn("year", F.expr("(period_num - 1) div 4").cast("int"))
     )

@@ -33,32 +33,44 @@ def says(word, text):
     return bool(re.search(r"\b" + re.escape(word) + r"\b", text, re.I))
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_history_rate_equals_brute_force(corpus, broadcast):
+def test_history_rate_equals_brute_force(corpus):
     rows, targets, docs, tdf = corpus
-    got = {(r.ticker, r.word, r.cutoff): r.hist_rate for r in history.mention_rates(docs, tdf, broadcast=broadcast).collect()}
+    got = {(r.ticker, r.word, r.cutoff): r.hist_rate for r in history.mention_rates(docs, tdf).collect()}
     for t, w, c in targets:
         prior = [r for r in rows if r[1] == t and r[3] is not None and r[3] < c]
         want = sum(says(w, r[2]) for r in prior) / len(prior) if prior else None
         assert got[(t, w, c)] == (None if want is None else pytest.approx(want)), (t, w, c)
 
 
-@pytest.mark.parametrize("measure", [whole_word, variant_count, substring])
-def test_token_join_equals_broadcast(corpus, measure):
-    _, _, docs, tdf = corpus
-    key = lambda df: sorted((r.ticker, r.word, r.doc_id, r.hits) for r in df.collect())
-    assert key(mention_hits(docs, tdf, measure, broadcast=True)) == key(mention_hits(docs, tdf, measure, broadcast=False))
+def matched(docs, vocab, measure):
+    """Every text against every word of its ticker by regular expressions."""
+    pairs = docs.join(vocab.select("ticker", "word").distinct(), "ticker").where("word IS NOT NULL AND content IS NOT NULL")
+    return pairs.select("ticker", "word", "doc_id", measure(F.lower("content"), F.col("word")).cast("long").alias("hits")).where("hits > 0")
+
 
+def hit_rows(df):
+    return sorted((r.ticker, r.word, r.doc_id or 0, r.hits) for r in df.collect())
 
-def test_substring_candidates_are_anchored(spark):
-    """A word is a candidate only where the text holds its first characters: no text meets every word."""
-    from earshot.operators.mentions import _candidate_words
 
-    docs = spark.createDataFrame([(i, "T", f"alpha beta {i}") for i in range(40)], "doc_id LONG, ticker STRING, content STRING")
-    vocab = spark.createDataFrame([("T", w) for w in ("alp", "zzz", "be", "ta 3", "")], "ticker STRING, word STRING")
-    found = {r.doc_id: set(r.words) for r in _candidate_words(docs, vocab, "doc_id", "content", substring).collect()}
-    assert found[3] == {"alp", "be", "ta 3", ""} and all("zzz" not in words for words in found.values())
-    assert all(("ta 3" in words) == f"alpha beta {i}".__contains__("ta 3"[:3]) for i, words in found.items())
+@pytest.mark.parametrize("measure", [whole_word, variant_count, substring])
+def test_token_lookup_equals_regular_expressions(spark, corpus, measure):
+    _, _, docs, tdf = corpus
+    assert hit_rows(mention_hits(docs, tdf, measure)) == hit_rows(matched(docs, tdf, measure))
+    texts = ["a b a b a", "%a%a% a%", "say q&a, R&D; r&d", " x  y   z ", "", None, "...", "über-alles über", "1.5% of 2.5%", "a, b. a, b.", "x&y&&z", "the-the the", "\tnew\nline"]
+    words = ["a b a", "a", "%a%", "&", "q&a", "R&D", " ", "", ".", "x  y", "5% of", "% of", "a, b", "y ", "r", "alles", "er-al", "1.5%", "he-th", "th", "t", "a / a", "b / a b", ".5", "\n", None, "...", "y   z "]
+    odd = spark.createDataFrame([(i if i % 5 else None, "T", t, "x") for i, t in enumerate(texts + texts[:4])], "doc_id LONG, ticker STRING, content STRING, token STRING")
+    vocab = spark.createDataFrame([("T", w) for w in words] + [("U", "a"), (None, "a")], "ticker STRING, word STRING")
+    assert hit_rows(mention_hits(odd, vocab, measure)) == hit_rows(matched(odd, vocab, measure))
+
+
+def test_large_vocabulary_needs_no_other_plan(spark):
+    """300,000 words, most of them of one ticker, take the same joins on (ticker, token) as a few, and no job beforehand."""
+    vocab = spark.range(300_000).select(F.when(F.col("id") % 20 > 0, "HOT").otherwise("B").alias("ticker"), F.concat(F.lit("word "), "id").alias("word"))
+    docs = spark.createDataFrame([(i, "HOT" if i % 3 else "B", f"a word {i} and word {i * 7}, word") for i in range(200)], "doc_id LONG, ticker STRING, content STRING")
+    got = {(r.doc_id, r.word) for r in mention_hits(docs, vocab).collect()}
+    want = {(i, f"word {n}") for i in range(200) for n in (i, i * 7) if (n % 20 > 0) == (i % 3 > 0)}
+    assert got == want
+    assert {(r.doc_id, r.word) for r in mention_hits(docs, vocab.where("word = ''")).collect()} == set()
 
 
 def test_future_document_changes_nothing(spark, corpus):
