@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import words as W
+from earshot.session import materialize
 
 # First characters of a substring that tokens are found by.
 GRAM = 3
@@ -38,10 +39,11 @@ def mention_hits(docs: DataFrame, vocab: DataFrame, measure=whole_word, *, key:
     """
     vocab = vocab.select("ticker", "word").where(F.col("ticker").isNotNull() & F.col("word").isNotNull()).distinct()
     inside = measure is substring
-    parts = literals_of(vocab, W.word_variants(F.col("word")) if measure is variant_count else F.array(F.lower("word")))
+    # Written first: the optimizer then knows its size, and never takes the texts, which grow when cut, for the smaller side.
+    parts = materialize(literals_of(vocab, W.word_variants(F.col("word")) if measure is variant_count else F.array(F.lower("word"))), "words")
     found = text_runs(docs, key, keep, text, parts.agg(F.collect_set("k")).scalar(), edges=inside)
     if inside:
-        parts = _resolved(parts, found.select("ticker", "k", "core", "joint").distinct())
+        parts = materialize(_resolved(parts, found.select("ticker", "k", "core", "joint").distinct()), "resolved")
     lead = F.endswith("before", "lead") if inside else F.col("before") == F.col("lead")
     trail = F.startswith("after", "trail") if inside else F.col("after") == F.col("trail")
     met = found.join(parts, ["ticker", "k", "core"]).where((F.col("lead").isNull() | lead) & (F.col("trail").isNull() | trail))
@@ -75,7 +77,9 @@ def text_runs(docs: DataFrame, key: str, keep: tuple[str, ...], text: str, sizes
 
     def run(k: Column, i: Column) -> Column:
         before, after = F.get("_gaps", i), F.get("_gaps", i + k)
-        core = F.array_join(F.slice("_woven", 2 * i + 1, 2 * k - 1), "")
+        # Elements are taken one by one: slice copies the whole array at every place.
+        several = F.array_join(F.transform(F.sequence(2 * i, 2 * (i + k) - 2), lambda j: F.get("_woven", j)), "")
+        core = F.when(k == 1, F.get("_tokens", i)).otherwise(several)
         sides = F.concat(F.right(F.get("_tokens", i), one), F.get("_gaps", i + 1), F.substring(F.get("_tokens", i + 1), 1, 1))
         return row(k, core, F.when(k > 1, sides) if edges else none, i, before if edges else F.when(i > 0, before),
                    after if edges else F.when(i + k < count, after), one)
