@@ -1,10 +1,12 @@
-"""Token ids of blank-separated chunks, remembered per Python worker."""
+"""Token ids of the pieces and chunks of texts, remembered per Python worker."""
 
 from __future__ import annotations
 
 import functools
 import json
 import os
+import re
+import unicodedata
 from array import array
 from collections.abc import Callable
 
@@ -26,10 +28,11 @@ class Remembered(dict):
 
 
 class ChunkEncoder:
-    """Encodes with the tokenizers library, chunk by chunk.
+    """Encodes as the tokenizers library does with add_special_tokens=False, remembering what texts are made of.
 
     The tokenizer must drop white space and never join characters across it; then the ids of a text are the ids of its
-    chunks one after another. Strings of special tokens in a text are ordinary text.
+    blank-separated chunks one after another. Chunks of plain characters are cut by the file's own pattern. A text that
+    holds the string of an added token goes through the library as a whole, which gives that token's id.
     """
 
     def __init__(self, path: str):
@@ -37,7 +40,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = tuple(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.width.itemsize == 2 else "I"
         self.tokenize = self.tokenizer.model.tokenize
@@ -55,14 +58,19 @@ class ChunkEncoder:
         cut, level = steps["pre_tokenizer"]["pretokenizers"]
         if cut["behavior"] != "Removed" or not cut["invert"] or level["add_prefix_space"] or level["use_regex"]:
             return None
-        import regex
-
         # Only for characters on which composition, case and the byte step are plain: printable up to U+017F.
-        self.plain = regex.compile(r"[!-~\xa1-įĲ-ſ]+").fullmatch
+        listed = "!-~\xa1-įĲ-ſ"
+        pattern = cut["pattern"]["Regex"]
+        for name in "LN":  # the standard module knows no such classes: the few characters are listed
+            members = "".join(c for c in map(chr, range(0x180)) if unicodedata.category(c)[0] == name)
+            pattern = pattern.replace(f"\\p{{{name}}}", members)
+        if "\\p" in pattern:
+            return None
+        self.plain = re.compile(f"[{listed}]+").fullmatch
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.as_characters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        return regex.compile(cut["pattern"]["Regex"]).findall
+        return re.compile(pattern).findall
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
@@ -78,6 +86,8 @@ class ChunkEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian integers of self.width."""
+        if any(token in text or token in text.lower() for token in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
         return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
 
 

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from earshot.llm.common import arrow_texts, in_batches
 
 # Share of the page's mean score (geometric, each block weighed by its punctuation) that a content path reaches.
-THRESHOLD = 0.05
+THRESHOLD = 0.3
 # Share of the content paths' text that may lie outside the bound of the article.
 OUTSIDE = 0.05
 # Weights of a text node's neighbours on both sides when scores are smoothed.
-KERNEL = (0.25, 0.5, 0.25)
+KERNEL = (0.15, 0.7, 0.15)
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +51,8 @@ AROUND = frozenset(
     "relatedstories recommend recommended recommendations recommendedarticles breadcrumb breadcrumbs pagination pager subscribe "
     "subscription newsletter newslettersignup signup signupform login loginform search searchbar searchbox searchform toolbar widget "
     "widgets widgetarea complementary contentinfo skiplink skiplinks skipnav skiptocontent hidden visuallyhidden".split())
+# What parts of an article are gathered in.
+LISTS = frozenset("ul ol dl li blockquote table thead tbody tr figure".split())
 # Those that make an article element a comment on another one.
 REMARKS = frozenset("comment comments reply replies respond".split())
 TOKEN = re.compile(
@@ -217,68 +219,15 @@ def path_scores(blocks: list[tuple[_Element, str]]) -> list[float]:
     return [sum(w * padded[k + j] for j, w in enumerate(KERNEL)) for k in range(len(raw))]
 
 
-def _marks(element: _Element | None) -> Iterator[_Element]:
-    """The marked elements from this one upwards."""
-    while element and element.mark:
-        yield element.mark
-        element = element.mark.up
-
-
-def _article(element: _Element | None) -> _Element | None:
-    """The nearest article or main that is no remark."""
-    while element and (element.name not in ("article", "main") or element.mark is element):
-        element = element.up
-    return element
-
-
-def without_around(blocks: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
-    """The blocks that stand in no marked element.
-
-    A mark by class, id, role, hiding, form or header does not count where the element holds the article or main with
-    most text or, on a page without these, more than half of the text, each block weighed by length and punctuation.
-    """
-    if not any(e.mark for e, _ in blocks):
-        return blocks
-    open_to = [(e, len(t) * math.log1p(1 + len(PUNCTUATION.findall(t)))) for e, t in blocks if not any(m.sure for m in _marks(e))]
-    articles: dict[_Element, float] = {}
-    held: dict[_Element, float] = {}
-    of: dict[_Element, _Element | None] = {}
-    for element, weight in open_to:
-        if element not in of:
-            of[element] = _article(element)
-        if of[element]:
-            articles[of[element]] = articles.get(of[element], 0.0) + weight
-        for mark in _marks(element):
-            held[mark] = held.get(mark, 0.0) + weight
-    if articles:
-        cleared = set(_marks(max(articles, key=articles.get)))
-    else:
-        half = sum(weight for _, weight in open_to) / 2
-        cleared = {mark for mark, weight in held.items() if weight > half}
-    return [(e, t) for e, t in blocks if all(m in cleared for m in _marks(e))]
-
-
-def path_scores(blocks: list[tuple[_Element, str]]) -> list[float]:
-    """Score of every block: text length and punctuation per node of its path, fused by product, smoothed in page order."""
-    sums: dict[str, list[float]] = {}
-    for element, text in blocks:
-        total = sums.setdefault(element.path, [0.0, 0.0, 0.0])
-        total[0] += len(text)
-        total[1] += len(PUNCTUATION.findall(text))
-        total[2] += 1
-    fused = {path: math.log1p(size / n) * math.log1p(1 + marks / n) for path, (size, marks, n) in sums.items()}
-    raw = [fused[element.path] for element, _ in blocks]
-    padded = [raw[0], *raw, raw[-1]] if raw else []
-    return [sum(w * padded[k + j] for j, w in enumerate(KERNEL)) for k in range(len(raw))]
-
-
 def main_text(page: str, threshold: float = THRESHOLD) -> str:
     """The article's blocks, one per line.
 
     Blocks in elements that by name, class, id or role stand around an article are out (see without_around). Of the
     rest, paths whose mean smoothed score reaches the threshold are content. The smallest element that holds nearly all
     text of content paths, or the article around it, bounds the result. An article element is taken whole; in any other
-    bound, blocks below the threshold stay only as headings before content or between the first and the last content.
+    bound, blocks below the threshold stay between the first and the last content, before it as headings or as lines
+    beside content (in the same element, or in a list or quote in it) after a heading, and after it as lists or quotes
+    beside content.
     """
     blocks = without_around(blocks_of(page))
     if not blocks:
@@ -300,7 +249,22 @@ def main_text(page: str, threshold: float = THRESHOLD) -> str:
     if whole or not places:
         return "\n".join(t for _, t, _ in inside)
     first, last = places[0], places[-1]
-    return "\n".join(t for k, (e, t, c) in enumerate(inside) if first <= k <= last or k < first and _heading(e))
+    around = {e.up for e, _, c in inside if c}
+    headings = [k for k, (e, _, _) in enumerate(inside) if k < first and _heading(e)]
+
+    def stays(k: int, element: _Element) -> bool:
+        if k < first:
+            return k in headings or bool(headings) and k > headings[0] and _beside(element, around)
+        return k <= last or element.name in LISTS and _beside(element, around)
+
+    return "\n".join(t for k, (e, t, _) in enumerate(inside) if stays(k, e))
+
+
+def _beside(element: _Element, around: set[_Element | None]) -> bool:
+    """Whether a block lies in an element that holds content, itself or in a list, table or quote."""
+    while element.up not in around and element.up and element.up.name in LISTS:
+        element = element.up
+    return element.up in around
 
 
 def _bound(content: list[tuple[_Element, str]]) -> tuple[_Element, bool]:

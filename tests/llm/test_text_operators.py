@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from earshot.llm import html_main, language_id, packing, prefix_bpe, token_files
-from earshot.llm.chunk_cache import ChunkEncoder
+from earshot.llm.chunk_cache import ChunkEncoder, chunk_encoder
 
 BYTE_BPE = P.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = P.path("word_bpe_49k.json")
@@ -49,9 +49,7 @@ def encoder():
 
 
 def _tokenizer():
-    found = Tokenizer.from_file(WORD_BPE)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(WORD_BPE)
 
 
 def _ids(tokenizer, text):
@@ -308,3 +306,23 @@ def test_article_of_the_test_pages(spark):
         inner = page[page.index("<article>"):page.index("</article>")]
         words = "".join(inner.replace("<", " <").split())
         assert row.text and all("".join(line.split())[:20] in __import__("html").unescape(words) for line in row.text.split("\n"))
+
+
+def test_strings_of_added_tokens_are_read_as_the_library_reads_them():
+    encoder, plain = chunk_encoder(WORD_BPE), _tokenizer()
+    for text in ("end <|endoftext|> of", "<|ENDOFTEXT|> x", "<|startoftext|><|endoftext|>", "a <|endoftext |> b", "no such string"):
+        ids = np.frombuffer(encoder.encode(text), encoder.width).tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids
+
+
+PARAGRAPH = "<p>" + "The river rose, and the town, as ever, waited; nobody left. " * 7 + "</p>"
+
+
+@pytest.mark.parametrize("page, lines", [
+    (f"<body><h1>Head</h1>{PARAGRAPH}{PARAGRAPH}<ul><li>last point one<li>last point two</ul></body>", ["last point one", "last point two"]),
+    (f"<body><h1>Head</h1>{PARAGRAPH}{PARAGRAPH}<blockquote>He said so.</blockquote></body>", ["He said so."]),
+    (f"<body><h1>Head</h1><div>Opening line.</div>{PARAGRAPH}{PARAGRAPH}</body>", ["Opening line."]),
+])
+def test_short_parts_of_an_article_stay(page, lines):
+    found = html_main.main_text(page).split("\n")
+    assert set(lines) <= set(found) and "Head" in found
