@@ -170,9 +170,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b").mapInArrow(check, "a long, b long").distinct()
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
+def _across(rows: DataFrame, percent: int, only_best: bool) -> DataFrame:
     """Pairs of different labels in one bucket whose signatures agree and whose counts allow the similarity.
 
+    With only_best each member of a block meets only that member of another label whose signature agrees most.
+
     rows: key, node, label, n_shingles, marks, counts, and the number of blocks of the bucket. A bucket larger than a block is
     dealt out by pairs of blocks, so that no task holds all of it.
     """
@@ -202,9 +204,14 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
                 if cell[1] != cell[2]:
                     near &= own != own[at]
                 near = np.flatnonzero(near)
-                near = near[_share(np.count_nonzero(marks[near] == marks[at], axis=1), marks.shape[1]) >= LEAST_AGREEMENT]
+                share = _share(np.count_nonzero(marks[near] == marks[at], axis=1), marks.shape[1])
+                near, share = near[share >= LEAST_AGREEMENT], share[share >= LEAST_AGREEMENT]
                 most = _most_common(counts[near], counts[at], n[near], int(n[at]))
-                good = near[100 * most >= percent * (n[near] + n[at] - most)]
+                likely = 100 * most >= percent * (n[near] + n[at] - most)
+                good, share = near[likely], share[likely]
+                if only_best:
+                    good = good[np.argsort(-share, kind="stable")]
+                    good = good[np.unique(label[good], return_index=True)[1]]
                 if len(good):
                     found.append(np.stack([np.minimum(node[good], node[at]), np.maximum(node[good], node[at])]))
                     size += len(good)
@@ -264,13 +271,26 @@ def connected_components(links: DataFrame) -> DataFrame:
         edges.select("v", "v").distinct())
 
 
+def _relabelled(found: DataFrame, links: DataFrame) -> DataFrame:
+    """node and component, after links (a, b) between the components of found have joined them."""
+    def own(side: str, name: str) -> DataFrame:
+        return found.select(F.col("node").alias(side), F.col("component").alias(name))
+
+    joined = links.join(own("a", "c_a"), "a", "left").join(own("b", "c_b"), "b", "left").select(
+        F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    roots = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    kept = found.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    alone = roots.join(found.select(F.col("node").alias("component")), "component", "left_anti")
+    return kept.union(alone.select(F.col("component").alias("node"), F.col("root").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per document.
 
     Documents are linked when 100 * intersection >= percent * union of their shingle sets. Equal sets are one node, so
     copies never pair up. A bucket (equal band) first links every member to one of them; then members of buckets that
-    still hold several components are compared across components, which finds every other link that could join two
-    components. Candidates must agree in signature and are confirmed on full sets.
+    still hold several components are compared across components, likeliest pairs first and then all that are left, which
+    finds every other link that could join two components. Candidates must agree in signature and are confirmed on full sets.
 
     component_id is the smallest doc_id reachable; kept marks that row. Texts without words (null, empty, white space)
     have size 0 and stand alone. A null doc_id is never linked and kept. Rows that repeat a doc_id count as one node
@@ -293,22 +313,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     links = _confirm(materialize(_agree(stars, marked, percent), "pairs"), sets, percent)
     found = connected_components(links)
 
-    labelled = shared.join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("label"), "members")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    open_rows = labelled.join(mixed, "key", "left_semi").join(marked, "node").join(sets.select("node", "counts"), "node")
-    open_rows = open_rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("long"))
-    more = _confirm(materialize(_across(open_rows, percent), "pairs"), sets, percent)
-
-    label = found.select("node", "component")
-    joined = more.join(label.select(F.col("node").alias("a"), F.col("component").alias("c_a")), "a", "left").join(
-        label.select(F.col("node").alias("b"), F.col("component").alias("c_b")), "b", "left").select(
-        F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-    roots = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("root"))
-    final = found.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("root")).union(
-        roots.join(found.select(F.col("node").alias("component")), "component", "left_anti").select("component", "root"))
-
-    sets = firsts.join(final.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(
+    # First the likeliest pair of every member and label, which joins nearly all that belongs together; then all pairs of
+    # what is still apart. So a large group is not compared pair by pair, and no link is lost.
+    for only_best in (True, False):
+        labelled = shared.join(found, "node", "left").select(
+            "key", "node", F.coalesce("component", "node").alias("label"), "members")
+        mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+        open_rows = labelled.join(mixed, "key", "left_semi").join(marked, "node").join(sets.select("node", "counts"), "node")
+        open_rows = open_rows.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("long"))
+        more = _confirm(materialize(_across(open_rows, percent, only_best), "pairs"), sets, percent)
+        found = materialize(_relabelled(found, more), "found")
+
+    sets = firsts.join(found.select(F.col("node").alias("doc_id"), F.col("component").alias("root")), "doc_id", "left").select(
         "set_key", F.coalesce("root", "doc_id").alias("root"))
     linked = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key")).join(
         sets, "set_key", "left")
