@@ -16,7 +16,7 @@ from earshot.llm.common import SPACE_BYTES, in_batches, text_or_empty
 from earshot.session import materialize
 
 # Bytes of text that a task's trie holds before it hands rows on (local pass) or spills a subtree (owner pass).
-TRIE_BYTES = 96 << 20
+TRIE_BYTES = 24 << 20
 
 
 class _Node:
@@ -137,7 +137,8 @@ def _order(owner: tuple) -> tuple:
 
 def _merge(old: tuple, new: tuple) -> tuple:
     """Values are (rows, best row, row numbers of the local copies)."""
-    return old[0] + new[0], min(old[1], new[1], key=_order), old[2] + new[2]
+    old[2].extend(new[2])  # in place: a text that many partitions hold is not copied at every merge
+    return old[0] + new[0], min(old[1], new[1], key=_order), old[2]
 
 
 def exact_duplicates(docs: DataFrame, max_trie_bytes: int = TRIE_BYTES) -> DataFrame:
@@ -203,7 +204,7 @@ def _owner_pass(max_bytes: int):
         trie = PatriciaTrie(_merge, max_bytes)
         for batch in batches:
             for text, _, _, copies, points, best_id, best_row, copy_row in zip(*(c.to_pylist() for c in batch.columns)):
-                trie.insert(text, (copies, (points, best_id, best_row), (copy_row,)))
+                trie.insert(text, (copies, (points, best_id, best_row), [copy_row]))
         for _, (copies, (_, best_id, best_row), copy_rows) in trie.items():
             for copy_row in copy_rows:
                 yield copy_row, best_id, best_row, copies
