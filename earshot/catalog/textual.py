@@ -302,9 +302,9 @@ VOCABULARY_SQL = sql(X.MARKETS_SQL + TERM_CTE, "SELECT term, df, corpus_tf, roun
 def tfidf_contexts(spark, sf):
     """Size, weight sum and largest weight of every market's context vector."""
     docs = X.transcripts(spark, sf)
-    daily = materialize(tfidf.daily_term_counts(docs), "daily-terms")
     rows = _train_rows(spark, sf)
-    vocabulary = materialize(tfidf.fit_vocabulary(daily, rows, call_dates=docs), "vocabulary")
+    vocabulary = tfidf.corpus_vocabulary(docs, rows)
+    daily = materialize(tfidf.daily_term_counts(docs, vocabulary), "daily-terms")
     vectors = tfidf.context_vectors(daily, rows, vocabulary)
     per_context = vectors.groupBy("ticker", "cutoff").agg(
         F.count(F.lit(1)).alias("n_terms"), F.sum("weight").alias("weight_sum"), F.max("weight").alias("max_weight"))

@@ -261,6 +261,38 @@ def test_tfidf_equals_brute_force(spark, corpus):
         assert weights == pytest.approx(want[key])
 
 
+@pytest.mark.parametrize("max_features, min_df, max_df, buckets", [
+    (40, 3, 0.7, 1 << 20), (40, 3, 0.7, 7), (3, 1, 1.0, 1 << 20), (3, 9, 0.6, 64), (5, 100, 1.0, 16), (10_000, 1, 1.0, 3)])
+def test_sketched_vocabulary_equals_brute_force(spark, corpus, max_features, min_df, max_df, buckets):
+    """Also where few buckets collide, the limits leave out the heaviest terms, or nothing is left."""
+    rows, _, docs, _ = corpus
+    contexts = [(t, D(2024, 1, 1) + dt.timedelta(days=k)) for t in ("HOT", "B", "NONE") for k in (0, 2, 3, 5, 5)] + [("HOT", None)]
+    idf, _ = brute_tfidf(rows, contexts, min_df, max_df, max_features)
+    cdf = spark.createDataFrame(contexts, "ticker STRING, cutoff DATE")
+    got = tfidf.corpus_vocabulary(docs, cdf, max_features, min_df, max_df, buckets)
+    assert {r.term: r.idf for r in got.collect()} == {t: pytest.approx(v) for t, v in idf.items()}
+    whole = tfidf.fit_vocabulary(tfidf.daily_term_counts(docs), cdf, max_features, min_df, max_df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_counts_of_a_vocabulary_are_those_of_all_terms(spark, corpus):
+    _, _, docs, _ = corpus
+    words = spark.createDataFrame([("ai",), ("ai model",), ("absent",)], "term STRING")
+    some = tfidf.daily_term_counts(docs, words).collect()
+    whole = tfidf.daily_term_counts(docs).where("term IN ('ai', 'ai model')").collect()
+    assert some and sorted(map(tuple, some)) == sorted(map(tuple, whole))
+
+
+def test_vocabulary_of_no_documents_and_of_no_rows(spark, corpus):
+    _, _, docs, _ = corpus
+    cdf = spark.createDataFrame([("HOT", D(2024, 1, 5))], "ticker STRING, cutoff DATE")
+    assert tfidf.corpus_vocabulary(docs.limit(0), cdf, min_df=1, max_df=1.0).count() == 0
+    assert tfidf.corpus_vocabulary(docs, cdf.limit(0), min_df=1, max_df=1.0).count() == 0
+    twice = tfidf.corpus_vocabulary(docs.unionByName(docs), cdf, min_df=1, max_df=1.0)
+    whole = tfidf.fit_vocabulary(tfidf.daily_term_counts(docs.unionByName(docs)), cdf, min_df=1, max_df=1.0)
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_repair_plan_collisions(spark):
     files = [("d", "A_2005_Q?.txt", "Operator: first quarter\nPeriod: Q? 2005\n"), ("d", "A_2005_Q.txt", "Q1 x"), ("d", "A_2006_Q1.txt", "ok"),
              ("d", "A_2006_Q?.txt", "Q1 y"), ("d", "bad.txt", "Q1 z"), ("d", "A_2007_Q?.txt", "nothing"), ("e", "A_2006_Q?.txt", "Q1 y")]
