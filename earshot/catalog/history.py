@@ -60,6 +60,23 @@ FROM m LEFT JOIN t ON t.ticker = m.ticker AND t.call_date < m.cutoff
 GROUP BY market_ticker, m.ticker""")
 
 
+def context_order(spark, sf):
+    """How the transcripts of every context follow one another where periods do not follow the dates."""
+    rows = X.markets(spark, sf).select("market_ticker", "ticker", "cutoff")
+    return tidy(context.context_order(X.late_transcripts(spark, sf), rows).drop("cutoff"))
+
+
+CONTEXT_ORDER_SQL = sql(X.MARKETS_SQL + X.LATE_SQL, """
+, c AS (SELECT DISTINCT ticker, cutoff FROM m),
+o AS (SELECT c.ticker, c.cutoff, doc_id, row_number() OVER w AS place, lag(doc_id) OVER w AS prev
+      FROM c JOIN lt ON lt.ticker = c.ticker AND lt.call_date < c.cutoff
+      WINDOW w AS (PARTITION BY c.ticker, c.cutoff ORDER BY year, quarter, call_date, doc_id)),
+s AS (SELECT ticker, cutoff, arg_min(doc_id, place) AS first_doc, arg_max(doc_id, place) AS last_doc, count(prev) AS n_seams,
+             CAST(coalesce(sum((prev * 31 + doc_id) % 1000003), 0) AS BIGINT) AS seam_sum FROM o GROUP BY ALL)
+SELECT market_ticker, m.ticker, first_doc, last_doc, coalesce(n_seams, 0) AS n_seams, coalesce(seam_sum, 0) AS seam_sum
+FROM m LEFT JOIN s ON s.ticker = m.ticker AND s.cutoff = m.cutoff""")
+
+
 def _recent(spark, sf):
     rows = X.markets(spark, sf).select("market_ticker", "ticker", "cutoff", "word")
     return context.recent_context(X.transcripts(spark, sf), rows, 2)
@@ -257,6 +274,7 @@ QUERIES = {
     "hist_rate_asof": (hist_rate_asof, HIST_RATE_SQL),
     "mention_rate": (mention_rate, MENTION_RATE_SQL),
     "all_prior_context": (all_prior_context, ALL_PRIOR_SQL),
+    "context_order": (context_order, CONTEXT_ORDER_SQL),
     "recent_context": (recent_context, RECENT_SQL),
     "pair_inputs": (pair_inputs, PAIR_SQL),
     "truncated_pair_inputs": (truncated_pair_inputs, TRUNCATED_SQL),

@@ -299,6 +299,30 @@ voc AS MATERIALIZED (SELECT term, CAST(sum(mult) AS BIGINT) AS df, CAST(sum(tf *
 VOCABULARY_SQL = sql(X.MARKETS_SQL + TERM_CTE, "SELECT term, df, corpus_tf, round(idf, 6) AS idf FROM voc")
 
 
+def tfidf_period_order(spark, sf):
+    """The vocabulary of contexts in (year, quarter) order where periods do not follow the dates."""
+    return tidy(tfidf.corpus_vocabulary(X.late_transcripts(spark, sf), _train_rows(spark, sf)))
+
+
+# Terms inside calls are counted per date, those across two calls per context.
+PERIOD_ORDER_SQL = sql(X.MARKETS_SQL + X.LATE_SQL, f"""
+, tok AS MATERIALIZED (SELECT ticker, year, quarter, call_date, doc_id, {TOKENS} AS tk FROM lt WHERE call_date IS NOT NULL),
+terms AS (SELECT ticker, call_date, unnest(tk) AS term FROM tok
+          UNION ALL SELECT ticker, call_date, unnest([tk[i] || ' ' || tk[i + 1] FOR i IN range(1, len(tk))]) FROM tok WHERE len(tk) > 1),
+daily AS MATERIALIZED (SELECT ticker, call_date, term, count(*) AS cnt FROM terms GROUP BY ALL),
+ctx AS (SELECT ticker, cutoff, count(*) AS mult FROM m WHERE cutoff IS NOT NULL GROUP BY ALL),
+ends AS (SELECT ticker, year, quarter, call_date, doc_id, tk[1] AS head, tk[-1] AS tail FROM tok WHERE len(tk) > 0),
+seams AS (SELECT c.ticker, c.cutoff, mult, head, lag(tail) OVER (PARTITION BY c.ticker, c.cutoff ORDER BY year, quarter, call_date, doc_id) AS prev
+          FROM ctx c JOIN ends e ON e.ticker = c.ticker AND e.call_date < c.cutoff),
+parts AS (SELECT c.ticker, c.cutoff, mult, term, cnt FROM ctx c JOIN daily d ON d.ticker = c.ticker AND d.call_date < c.cutoff
+          UNION ALL SELECT ticker, cutoff, mult, prev || ' ' || head, 1 FROM seams WHERE prev IS NOT NULL),
+ct AS MATERIALIZED (SELECT ticker, cutoff, mult, term, sum(cnt) AS tf FROM parts GROUP BY ALL)
+SELECT term, CAST(sum(mult) AS BIGINT) AS df, CAST(sum(tf * mult) AS BIGINT) AS corpus_tf,
+       round(ln((1 + (SELECT count(*) FROM m)) / (1 + sum(mult))) + 1, 6) AS idf
+FROM ct GROUP BY term HAVING sum(mult) >= 3 AND sum(mult) <= 0.95::DOUBLE * (SELECT count(*) FROM m)
+ORDER BY sum(tf * mult) DESC, term LIMIT 10000""")
+
+
 def tfidf_contexts(spark, sf):
     """Size, weight sum and largest weight of every market's context vector."""
     docs = X.transcripts(spark, sf)
@@ -349,4 +373,5 @@ SELECT doc_id, CAST(year AS BIGINT) AS year, CAST(quarter AS BIGINT) AS quarter,
     "preprocess_stats": (preprocess_stats, _preprocess_sql()),
     "tfidf_vocabulary": (tfidf_vocabulary, VOCABULARY_SQL),
     "tfidf_contexts": (tfidf_contexts, CONTEXT_SQL),
+    "tfidf_period_order": (tfidf_period_order, PERIOD_ORDER_SQL),
 }

@@ -38,6 +38,14 @@ def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def late_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth call is about a period a year back, so that periods do not follow the dates."""
+    return transcripts(spark, sf_dir).withColumn("year", F.when(F.col("doc_id") % 5 == 0, F.col("year") - 1).otherwise(F.col("year")))
+
+
+LATE_SQL = """
+, lt AS (SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN year - 1 ELSE year END AS year) FROM t)"""
+
 TRANSCRIPTS_SQL = """
 t0 AS (
   SELECT doc_id, upper(source) AS ticker, text AS content, lang,

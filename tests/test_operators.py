@@ -228,7 +228,7 @@ def brute_tfidf(rows, contexts, min_df, max_df, limit):
     import math
     from collections import Counter
 
-    docs = sorted((r for r in rows if r[3] is not None), key=lambda r: (r[3], r[0]))
+    docs = sorted((r for r in rows if r[3] is not None), key=lambda r: (r[4], r[5], r[3], r[0]))
     texts = [[w for r in docs if r[1] == t and c is not None and r[3] < c for w in re.findall(r"\b\w\w+\b", r[2].lower())] for t, c in contexts]
     tfs = [Counter(x + [" ".join(p) for p in zip(x, x[1:])]) for x in texts]
     df, total = Counter(t for tf in tfs for t in tf), Counter()
@@ -293,6 +293,44 @@ def test_vocabulary_of_no_documents_and_of_no_rows(spark, corpus):
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, whole.collect()))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_context_order_equals_brute_force(spark, seed):
+    """Periods that do not follow the dates, shared periods and dates, and missing ones."""
+    rng = random.Random(seed)
+    rows = [(i, rng.choice(["HOT", "HOT", "B", None]), rng.choice([None, D(2024, 1, 1), *[D(2024, 1, 1) + dt.timedelta(days=k) for k in range(9)]]),
+             rng.choice([2022, 2023, 2024, None]), rng.choice([1, 2, 3, 4, None])) for i in range(70)]
+    contexts = [(t, D(2024, 1, 1) + dt.timedelta(days=k)) for t in ("HOT", "B", "NONE") for k in range(11)] + [("HOT", None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, ticker STRING, call_date DATE, year INT, quarter INT")
+    got = {(r.ticker, r.cutoff): tuple(r)[2:] for r in context.context_order(docs, spark.createDataFrame(contexts, "ticker STRING, cutoff DATE")).collect()}
+    for t, c in contexts:
+        mine = [r for r in rows if r[1] == t and r[2] and c and r[2] < c]
+        ids = [r[0] for r in sorted(mine, key=lambda r: (r[3] or 0, r[4] or 0, r[2], r[0]))]
+        codes = [(a * 31 + b) % 1000003 for a, b in zip(ids, ids[1:])]
+        assert got[t, c] == (ids[0] if ids else None, ids[-1] if ids else None, len(codes), sum(codes))
+
+
+def test_neighbours_are_linear_in_the_cells():
+    rng = random.Random(3)
+    days = [rng.randrange(500) for _ in range(4000)]
+    assert len(list(context._neighbours(days))) < 2 * len(days)
+    assert list(context._neighbours([])) == [] and list(context._neighbours([7])) == []
+
+
+def test_bigram_that_leaves_a_context_and_comes_back(spark):
+    """'a1 b1' spans two calls until one of an older period is held between them, and is said again later."""
+    docs = spark.createDataFrame([
+        (1, "T", "x1 a1", D(2024, 1, 1), 2020, 1), (2, "T", "b1 y1", D(2024, 1, 2), 2020, 3),
+        (3, "T", "mid", D(2024, 1, 5), 2020, 2), (4, "T", "a1 b1", D(2024, 1, 8), 2020, 4)],
+        "doc_id LONG, ticker STRING, content STRING, call_date DATE, year INT, quarter INT")
+    cuts = spark.createDataFrame([("T", D(2024, 1, d)) for d in (1, 2, 3, 4, 6, 7, 9)], "ticker STRING, cutoff DATE")
+    daily = tfidf.daily_term_counts(docs)
+    for vocabulary in (tfidf.fit_vocabulary(daily, cuts, 99, 1, 1.0), tfidf.corpus_vocabulary(docs, cuts, 99, 1, 1.0)):
+        rows = {r.term: (r.df, r.corpus_tf) for r in vocabulary.collect()}
+        assert rows["a1 b1"] == (3, 3) and rows["mid"] == (3, 3) and rows["a1 mid"] == (3, 3) and rows["a1"] == (6, 7)
+        got = {r.cutoff.day for r in tfidf.context_vectors(daily, cuts, vocabulary).where("term = 'a1 b1'").collect()}
+        assert got == {3, 4, 9}
+
+
 def test_repair_plan_collisions(spark):
     files = [("d", "A_2005_Q?.txt", "Operator: first quarter\nPeriod: Q? 2005\n"), ("d", "A_2005_Q.txt", "Q1 x"), ("d", "A_2006_Q1.txt", "ok"),
              ("d", "A_2006_Q?.txt", "Q1 y"), ("d", "bad.txt", "Q1 z"), ("d", "A_2007_Q?.txt", "nothing"), ("e", "A_2006_Q?.txt", "Q1 y")]
