@@ -38,9 +38,9 @@ def stream_distinct_quotes(spark, sf):
 
 
 def stream_daily_candles(spark, sf):
-    """Days that the watermark has closed."""
+    """Every day of every market, the last and still open one included."""
     candles = S.daily_candles(_quote_stream(spark, sf))
-    out = S.drain(candles, "candles")
+    out = S.drain(candles, "candles", "update", S.CANDLE_KEYS)
     return tidy(out.select("market_ticker", F.to_date("day_start").alias("day"), "open_mid", "close_mid", "low_mid", "high_mid", "volume", "n_quotes"))
 
 
@@ -53,6 +53,5 @@ SELECT market_ticker, count(*) AS n, round(sum(mid), 6) AS mid_sum FROM d GROUP
     "stream_daily_candles": (stream_daily_candles, sql(X.QUOTES_SQL, """
 SELECT market_ticker, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, round(arg_min(mid, (ts, event_id)), 6) AS open_mid, round(arg_max(mid, (ts, event_id)), 6) AS close_mid,
        round(min(mid), 6) AS low_mid, round(max(mid), 6) AS high_mid, round(sum(volume), 6) AS volume, count(*) AS n_quotes
-FROM q GROUP BY market_ticker, CAST(ts AS DATE)
-HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM q)""")),
+FROM q GROUP BY market_ticker, CAST(ts AS DATE)""")),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from earshot.plans.recommender import score_quotes
 from earshot.session import scratch_path
@@ -19,21 +19,42 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: s
     )
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process everything available and stop; files and offsets live in the shared folder, so a restart resumes."""
+def run_in_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
+    """Process everything available; each batch overwrites a folder of its own, batch_id=N.
+
+    A batch that was written but not yet committed to the checkpoint comes again under its id after a restart and
+    takes the place of its first writing, so no row is there twice and none is lost. Any output mode goes.
+    """
+    spark = stream.sparkSession
+    # So that a stream without input leaves a table too.
+    _write_batch(spark.createDataFrame([], stream.schema), -1, path)
     query = (
-        stream.writeStream.outputMode(mode).format("parquet").option("path", path)
+        stream.writeStream.outputMode(mode).foreachBatch(lambda batch, batch_id: _write_batch(batch, batch_id, path))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
-def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def _write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType, keys: tuple[str, ...] = ()) -> DataFrame:
+    """What run_in_batches has written. With keys, of rows with equal keys the one of the newest batch (update mode)."""
+    # A new object: StructType.add works in place.
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).parquet(path)
+    if not keys:
+        return rows.drop("batch_id")
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "batch_id").alias("row"))
+    return newest.select("row.*")
+
+
+def drain(stream: DataFrame, name: str, mode: str = "append", keys: tuple[str, ...] = ()) -> DataFrame:
     """Run the stream over what is available and read its result back."""
     spark = stream.sparkSession
     path = scratch_path(spark, name)
-    run_available(stream, path, scratch_path(spark, f"{name}-checkpoint"), mode)
-    return spark.read.schema(stream.schema).parquet(path)
+    run_in_batches(stream, path, scratch_path(spark, f"{name}-checkpoint"), mode)
+    return read_batches(spark, path, stream.schema, keys)
 
 
 def drop_repeats(quotes: DataFrame, keys: tuple[str, ...] = ("market_ticker", "ts"), delay: str = "1 hour",
@@ -42,8 +63,15 @@ def drop_repeats(quotes: DataFrame, keys: tuple[str, ...] = ("market_ticker", "t
     return quotes.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+CANDLE_KEYS = ("market_ticker", "day_start")
+
+
 def daily_candles(quotes: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Open, close, range and volume per market and event-time day; later rows than the watermark are dropped."""
+    """Open, close, range and volume per market and event-time day; later rows than the watermark are dropped.
+
+    In append mode a day comes out once the watermark has passed it, so the last day of ended input never does. In
+    update mode each batch gives the days it changed: read by CANDLE_KEYS, every day is there, open ones as they stand.
+    """
     order = F.struct("ts", "event_id")
     return (
         quotes.withWatermark("ts", delay).groupBy("market_ticker", F.window("ts", "1 day").alias("w"))

@@ -1,7 +1,10 @@
 """Real files in, real files out."""
 
+import datetime as dt
 import json
+import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +135,68 @@ def test_news_files(spark, tmp_path):
         (tmp_path / "KO" / name).write_text(text)
     rows = {(r.year, r.quarter, r.title): (r.ticker, str(r.call_date), r.content) for r in news.read_news(spark, str(tmp_path)).collect()}
     assert rows == {(2024, 1, "AI"): ("KO", "2024-04-02", "AI\nchips"), (2024, 1, "no date"): ("KO", "None", "no date\n"), (0, 0, ""): ("KO", "None", "\n")}
+
+
+@pytest.fixture
+def quote_files(spark, tmp_path):
+    """Four files read one by one; a day that changes later, days that stay open, and a row behind the watermark."""
+    rows = [
+        [(1, "A", dt.datetime(2024, 1, 1, 9), 0.4, 10), (2, "A", dt.datetime(2024, 1, 1, 23, 50), 0.6, 5), (3, "B", dt.datetime(2024, 1, 1, 12), 0.1, 1)],
+        [(4, "A", dt.datetime(2024, 1, 1, 23, 30), 0.9, 2), (5, "A", dt.datetime(2024, 1, 2, 8), 0.5, 3)],
+        [(7, "B", dt.datetime(2024, 1, 3, 1), 0.3, 4), (8, "A", dt.datetime(2024, 1, 2, 9), 0.7, 1)],
+        # Spark drops late rows by the watermark that the batch before last has reached.
+        [(6, "B", dt.datetime(2024, 1, 1, 13), 0.2, 7)],
+    ]
+    folder = tmp_path / "quotes"
+    folder.mkdir()
+    for k, part in enumerate(rows):
+        frame = pd.DataFrame(part, columns=["event_id", "market_ticker", "ts", "mid", "volume"]).astype({"ts": "datetime64[us]"})
+        frame.to_parquet(folder / f"{k}.parquet", index=False)
+        os.utime(folder / f"{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    return str(folder), spark.createDataFrame([], "event_id LONG, market_ticker STRING, ts TIMESTAMP, mid DOUBLE, volume LONG").schema
+
+
+def test_candles_hold_open_days_and_newest_state(spark, quote_files):
+    folder, schema = quote_files
+    stream = Q.daily_candles(Q.file_stream(spark, folder, schema, files_per_trigger=1))
+    got = {(r.market_ticker, r.day_start.day): (r.open_mid, r.close_mid, r.low_mid, r.high_mid, r.volume, r.n_quotes)
+           for r in Q.drain(stream, "test-candles", "update", Q.CANDLE_KEYS).collect()}
+    assert got == {
+        ("A", 1): (0.4, 0.6, 0.4, 0.9, 17, 3),  # the second file changes a day of the first
+        ("B", 1): (0.1, 0.1, 0.1, 0.1, 1, 1),  # quote 6 comes after the watermark
+        ("A", 2): (0.5, 0.7, 0.5, 0.7, 4, 2), ("B", 3): (0.3, 0.3, 0.3, 0.3, 4, 1),  # open at the end
+    }
+
+
+@pytest.mark.parametrize("breaks_after_writing", [True, False])
+def test_stream_goes_on_after_a_broken_batch_without_doubles(spark, quote_files, tmp_path, monkeypatch, breaks_after_writing):
+    folder, schema = quote_files
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    write, seen = Q._write_batch, []
+
+    def breaks(batch, batch_id, path):
+        if batch_id == 1 and not breaks_after_writing:
+            raise RuntimeError("executor lost")
+        write(batch, batch_id, path)
+        seen.append(batch_id)
+        if batch_id == 1:
+            raise RuntimeError("executor lost")
+
+    def quotes():
+        return Q.file_stream(spark, folder, schema, files_per_trigger=1)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Q, "_write_batch", breaks)
+        with pytest.raises(Exception, match="executor lost"):
+            Q.run_in_batches(quotes(), path, checkpoint)
+    assert seen == ([-1, 0, 1] if breaks_after_writing else [-1, 0])
+    Q.run_in_batches(quotes(), path, checkpoint)
+    assert sorted(r.event_id for r in Q.read_batches(spark, path, schema).collect()) == list(range(1, 9))
+    Q.run_in_batches(quotes(), path, checkpoint)  # nothing new
+    assert Q.read_batches(spark, path, schema).count() == 8
+
+
+def test_stream_without_input_leaves_an_empty_table(spark, quote_files, tmp_path):
+    _, schema = quote_files
+    (tmp_path / "none").mkdir()
+    assert Q.drain(Q.file_stream(spark, str(tmp_path / "none"), schema), "test-no-input").count() == 0
