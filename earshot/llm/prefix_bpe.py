@@ -8,6 +8,7 @@ import hashlib
 from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +39,12 @@ class Ranks:
             parts = self._merge(token, rank)
             if len(parts) == 2:
                 self.halves[rank] = (ranks[parts[0]], ranks[parts[1]])
-        self.made = {token: rank for token, rank in ranks.items() if rank in self.halves}
+        # Finds the tokens that end at each byte, longest first.
+        self.made = ahocorasick.Automaton()
+        for rank in self.halves:
+            token = self.bytes_of[rank]
+            self.made.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.made.make_automaton()
 
     def _merge(self, piece: bytes, below: int) -> list[bytes]:
         """The rank merges on a short piece, with merges of rank below a limit only."""
@@ -100,16 +106,19 @@ class PrefixEncoding:
         self._extend(len(self.data))
 
     def _extend(self, upto: int) -> None:
-        table, data, last = self.table, self.data, self.last
-        get, pairs, longest = table.made.get, table.pairs, table.longest
-        for end in range(len(last), upto + 1):
-            for begin in range(end - longest if end > longest else 0, end):
-                token = get(data[begin:end])
-                if token is not None and (begin == 0 or pairs[last[begin] << 32 | token]):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the rank table lacks a byte")
+        last, pairs, known = self.last, self.table.pairs, len(self.last)
+        start = max(0, known - self.table.longest)
+        for at, (token, length) in self.table.made.iter(self.data[start:upto].decode("latin-1")):
+            end = start + at + 1
+            if end != known:
+                if end < known:
+                    continue
+                break
+            if end == length or pairs[last[end - length] << 32 | token]:
+                last.append(token)
+                known += 1
+        if known <= upto:
+            raise ValueError("the rank table lacks a byte")
 
     def edit(self, begin: int, end: int, new: bytes) -> int:
         """Replace bytes begin..end; returns how many prefixes were worked out anew."""
