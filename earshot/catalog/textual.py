@@ -276,8 +276,7 @@ def _train_rows(spark, sf):
 
 
 def tfidf_vocabulary(spark, sf):
-    docs = X.transcripts(spark, sf)
-    return tidy(tfidf.fit_vocabulary(tfidf.daily_term_counts(docs), _train_rows(spark, sf), call_dates=docs))
+    return tidy(tfidf.corpus_vocabulary(X.transcripts(spark, sf), _train_rows(spark, sf)))
 
 
 TOKENS = r"regexp_extract_all(lower(content), '[\p{L}\p{M}\p{N}_]{2,}')"
