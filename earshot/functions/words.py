@@ -16,8 +16,13 @@ def word_variants(word: Column) -> Column:
 
 
 def whole_word_pattern(literal: Column) -> Column:
-    quoted = F.replace(literal, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    return F.concat(F.lit("(?U)\\b\\Q"), quoted, F.lit("\\E\\b"))
+    """The literal between word boundaries.
+
+    Both are tested once the literal is found, the first by looking back over it: asked at every character of a text,
+    a boundary costs far more than the literal.
+    """
+    quoted = F.concat(F.lit("\\Q"), F.replace(literal, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    return F.concat(F.lit("(?U)"), quoted, F.lit("\\b(?<=\\b"), quoted, F.lit(")"))
 
 
 def says_word(lower_text: Column, lower_word: Column) -> Column:
