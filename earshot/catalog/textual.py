@@ -326,8 +326,9 @@ def tfidf_contexts(spark, sf):
     """Size, weight sum and largest weight of every market's context vector."""
     docs = X.transcripts(spark, sf)
     rows = _train_rows(spark, sf)
-    vocabulary = tfidf.corpus_vocabulary(docs, rows)
-    daily = materialize(tfidf.daily_term_counts(docs, vocabulary), "daily-terms")
+    ends = materialize(tfidf.ends(docs), "ends")
+    vocabulary = tfidf.corpus_vocabulary(docs, rows, outer=ends)
+    daily = materialize(tfidf.daily_term_counts(docs, vocabulary, ends), "daily-terms")
     vectors = tfidf.context_vectors(daily, rows, vocabulary)
     per_context = vectors.groupBy("ticker", "cutoff").agg(
         F.count(F.lit(1)).alias("n_terms"), F.sum("weight").alias("weight_sum"), F.max("weight").alias("max_weight"))
